@@ -14,10 +14,10 @@ from grainfold.operators.ordered import MAX_GROUP_ROWS, OrderedGroups
 
 
 def category_index(df: DataFrame, column: str, name: str, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Distinct known values with their alphabetical number from 0."""
-    values = df.where(F.col(column).isNotNull()).select(column).distinct()
+    """Known values with their alphabetical number from 0, and their rows: (column, name, _rows)."""
+    values = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_rows"))
     ranked = OrderedGroups(values, [], [column], max_group_rows).position("_pos").frame()
-    return ranked.select(column, (F.col("_pos") - 1).cast("int").alias(name))
+    return ranked.select(column, (F.col("_pos") - 1).cast("int").alias(name), "_rows")
 
 
 def category_codes(df: DataFrame, columns: Sequence[str], suffix: str = "_code") -> DataFrame:
@@ -55,7 +55,7 @@ def label_indexer(train: DataFrame, label: str, out: str = "label") -> StringInd
 def class_weight(df: DataFrame, label: str, weights: Mapping | None = None, name: str = "weight") -> DataFrame:
     """Weight per row: from a fixed map (1 if absent), or one over the class size."""
     if weights is None:
-        sizes = df.groupBy(label).agg((1.0 / F.count(F.lit(1))).alias(name))
+        sizes = df.groupBy(label).agg((1.0 / F.count(F.lit(1))).alias(name), F.count(F.lit(1)).alias("_rows"))
         return attach(df, sizes, [label])
     pairs = [F.lit(x) for k, v in weights.items() for x in (k, float(v))]
     looked_up = F.try_element_at(F.create_map(*pairs), F.col(label))

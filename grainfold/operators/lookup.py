@@ -46,12 +46,13 @@ def pair_check(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
 
 
 def canonical_codes(df: DataFrame, name: str, code: str, order: str) -> DataFrame:
-    """Names that occur with several codes, and the code seen first for each."""
+    """Names that occur with several codes, the code seen first for each, and its rows."""
     return (
         df.groupBy(name)
-        .agg(F.min(F.struct(order, code)).alias("_first"), F.min(code).alias("_lo"), F.max(code).alias("_hi"))
+        .agg(F.min(F.struct(order, code)).alias("_first"), F.min(code).alias("_lo"), F.max(code).alias("_hi"),
+             F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_lo") != F.col("_hi"))
-        .select(name, F.col("_first")[code].alias("canonical"))
+        .select(name, F.col("_first")[code].alias("canonical"), "_rows")
     )
 
 
@@ -63,22 +64,13 @@ def use_canonical_code(df: DataFrame, name: str, code: str, order: str) -> DataF
 
 def peer_deviation(df: DataFrame, value: str, keys: Sequence[str], name: str = "deviation") -> DataFrame:
     """Value minus the mean of its peer group; NULL where a key part is NULL."""
-    means = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.avg(value).alias("_peer"))
+    means = df.dropna(subset=list(keys)).groupBy(*keys).agg(
+        F.avg(value).alias("_peer"), F.count(F.lit(1)).alias("_rows")
+    )
     return attach(df, means, keys).withColumn(name, F.col(value) - F.col("_peer")).drop("_peer")
 
 
 def mean_peer_deviation(df: DataFrame, value: str, peer: Sequence[str], by: Sequence[str], name: str) -> DataFrame:
-    """Mean deviation from the peer-group mean per ``by`` group, with the row count.
-
-    A group's rows enter through their (peer, by) sums only: sum - n * peer mean.
-    So the table is shuffled once, pre-aggregated, and never joined row by row.
-    """
-    both = [*peer, *[b for b in by if b not in peer]]
-    cells = df.dropna(subset=list(peer)).groupBy(*both).agg(
-        F.sum(value).alias("_sum"), F.count(value).alias("_known"), F.count(F.lit(1)).alias("_rows")
-    )
-    peers = cells.groupBy(*peer).agg((F.sum("_sum") / F.nullif(F.sum("_known"), F.lit(0))).alias("_mean"))
-    gap = F.col("_sum") - F.col("_known") * F.col("_mean")
-    return cells.join(peers, list(peer)).groupBy(*by).agg(
-        (F.sum(gap) / F.nullif(F.sum("_known"), F.lit(0))).alias(name), F.sum("_rows").alias("n")
-    )
+    """Mean deviation from the peer-group mean per ``by`` group, with the row count."""
+    rows = peer_deviation(df.dropna(subset=list(peer)), value, peer, "_gap")
+    return rows.groupBy(*by).agg(F.avg("_gap").alias(name), F.count(F.lit(1)).alias("n"))

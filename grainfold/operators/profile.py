@@ -41,7 +41,7 @@ def quantiles(
     """
     keys = list(keys)
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    cum = OrderedGroups(counts, keys, [value], max_group_rows).running_sum("_cum", F.col("_n")).frame()
+    cum = OrderedGroups(counts, keys, [value], max_group_rows, bound=df).running_sum("_cum", F.col("_n")).frame()
     totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
     if keys:
         on = [cum[k].eqNullSafe(totals[k]) for k in keys]

@@ -73,7 +73,7 @@ def merge_intervals(
     shortens the one around it.
     """
     spans = df.groupBy(*keys, start).agg(F.max(end).alias(end))
-    rows = OrderedGroups(spans, keys, [start], max_group_rows).max_before("_reach", F.col(end))
+    rows = OrderedGroups(spans, keys, [start], max_group_rows, bound=df).max_before("_reach", F.col(end))
     fresh = F.when(F.col(start) > F.col("_reach"), 1).otherwise(0).cast("long")
     islands = rows.running_sum("_island", fresh).frame()
     return islands.groupBy(*keys, "_island").agg(
@@ -140,10 +140,11 @@ def halo_blocks(df: DataFrame, index: str, size: int, before: int, after: int) -
     return df.withColumn("block", F.explode(copies))
 
 
-def _jump_table(values: np.ndarray, owned: int, last: bool) -> pd.DataFrame:
-    """Outcome of entering one chunk at each possible offset and state.
+def _jump_moves(values: np.ndarray, owned: int, last: bool) -> list[tuple]:
+    """(entry, waiting, leave, still, total) for every way to enter one chunk.
 
-    ``values`` holds the chunk's ``owned`` rows and up to four rows of the next.
+    ``values`` holds the chunk's ``owned`` rows and up to four rows of the next;
+    ``leave`` is the offset in the next chunk, or -1 if the scan ends here.
     """
     vals, n, out = values.tolist(), len(values), []
     for entry in range(min(JUMP_LOOK_AHEAD + 1, owned)):
@@ -163,13 +164,16 @@ def _jump_table(values: np.ndarray, owned: int, last: bool) -> pd.DataFrame:
                     skip = 1 if still else 0
                     best = skip + int(np.argmax(window[skip:]))
                     total, at, still = total + window[best], at + best, best == 0
-            out.append((entry, waiting, -1 if done else max(at - owned, 0), still, total))
-    return pd.DataFrame(out, columns=["entry", "waiting", "leave", "still", "total"])
+            out.append((entry, waiting, -1 if done else at - owned, still, total))
+    return out
+
+
+_MOVES = "array<struct<entry: int, waiting: boolean, leave: int, still: boolean, total: double>>"
 
 
 def bounded_jump_score(
     df: DataFrame, value: str, keys: Sequence[str], order: Sequence[str],
-    name: str = "score", chunk: int = 100_000, max_group_rows: int = MAX_GROUP_ROWS,
+    name: str = "score", chunk: int = 10_000, max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Total collected by the greedy jump scan over each ordered series.
 
@@ -179,38 +183,38 @@ def bounded_jump_score(
     current row, the next move looks at the four rows after it only. The scan ends
     when no value >= 0 is left inside a look-ahead that reaches the end.
 
-    A scan leaves a chunk at one of five offsets and in one of two states, so the
+    A scan enters a chunk at one of five offsets and in one of two states, so the
     chunks of a series are worked out independently, for every way to enter them,
-    and then chained: a chunk of any length becomes ten rows.
+    and then chained: a chunk of any length becomes ten moves.
     """
     keys = list(keys)
     rows = OrderedGroups(df, keys, order, max_group_rows).position("_pos").frame()
-    rows = rows.withColumn("_pos", F.col("_pos") - 1)
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    pieces = halo_blocks(rows.select(*keys, "_pos", value), "_pos", chunk, 0, JUMP_LOOK_AHEAD)
-    pieces = pieces.where("block >= 0").join(sizes, keys)
-    key_types = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys)
-
-    def one_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_pos")
-        block, size = int(pdf["block"].iloc[0]), int(pdf["_rows"].iloc[0])
-        owned = int((pdf["_pos"] < (block + 1) * chunk).sum())
-        table = _jump_table(pdf[value].to_numpy(float), owned, int(pdf["_pos"].iloc[-1]) == size - 1)
-        table["block"] = block
-        for k in keys:
-            table[k] = pdf[k].iloc[0]
-        return table
-
-    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        moves = {(r.block, r.entry, r.waiting): (r.leave, r.still, r.total) for r in pdf.itertuples()}
-        block, entry, still, score = 0, 0, False, 0.0
-        while entry >= 0 and (block, entry, still) in moves:
-            entry, still, gained = moves[(block, entry, still)]
-            block, score = block + 1, score + gained
-        return pd.DataFrame([[*(pdf[k].iloc[0] for k in keys), score]], columns=[*keys, name])
-
-    tables = pieces.groupBy(*keys, "block").applyInPandas(
-        one_chunk,
-        f"{key_types}, block long, entry int, waiting boolean, leave int, still boolean, total double",
+    rows = rows.select(*keys, (F.col("_pos") - 1).alias("_pos"), F.col(value).cast("double").alias("_v"))
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+
+    @F.pandas_udf(_MOVES)
+    def moves(values: pd.Series, owned: pd.Series, last: pd.Series) -> pd.Series:
+        return pd.Series([_jump_moves(v, int(o), bool(e)) for v, o, e in zip(values, owned, last)])
+
+    pieces = halo_blocks(rows, "_pos", chunk, 0, JUMP_LOOK_AHEAD).where("block >= 0")
+    ordered = F.array_sort(F.collect_list(F.struct("_pos", "_v")))
+    pieces = pieces.groupBy(*keys, "block").agg(
+        F.transform(ordered, lambda s: s["_v"]).alias("_values"), F.max("_pos").alias("_end"),
+        F.count_if(F.col("_pos") < (F.col("block") + 1) * chunk).alias("_owned"),
+    ).join(sizes, keys)
+    tables = pieces.select(
+        *keys, "block", moves("_values", "_owned", F.col("_end") == F.col("_size") - 1).alias("moves")
     )
-    return tables.groupBy(*keys).applyInPandas(chain, f"{key_types}, `{name}` double")
+    # one short table per chunk and series, chained in chunk order
+    steps = F.array_sort(F.collect_list(F.struct("block", "moves")))
+    start = F.struct(F.lit(0).alias("entry"), F.lit(False).alias("waiting"), F.lit(0.0).alias("score"))
+
+    def follow(state, step):
+        move = F.get(F.filter(step["moves"], lambda m: (m["entry"] == state["entry"]) & (m["waiting"] == state["waiting"])), F.lit(0))
+        return F.struct(
+            F.coalesce(move["leave"], F.lit(-1)).alias("entry"),
+            F.coalesce(move["still"], F.lit(False)).alias("waiting"),
+            (state["score"] + F.coalesce(move["total"], F.lit(0.0))).alias("score"),
+        )
+
+    return tables.groupBy(*keys).agg(F.aggregate(steps, start, follow)["score"].alias(name))

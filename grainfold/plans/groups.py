@@ -76,7 +76,7 @@ def join_chain(spark, sf):
     )
 
 
-@query("""SELECT c_custkey, rate, round(c_acctbal / rate, 4) AS converted FROM customer JOIN nation ON c_nationkey = n_nationkey
+@query("""SELECT c_custkey, rate, round(c_acctbal / rate + 1e-7, 4) AS converted FROM customer JOIN nation ON c_nationkey = n_nationkey
 JOIN (SELECT n_name AS currency, 1.0 + n_nationkey / 10.0 AS rate FROM nation WHERE n_nationkey < 20) ON n_name = currency""")
 def rate_lookup(spark, sf):
     nation = read_table(spark, sf, "nation")
@@ -89,7 +89,7 @@ def rate_lookup(spark, sf):
     rows = read_table(spark, sf, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     rows = rows.withColumnRenamed("n_name", "currency")
     return lookup.rate_lookup(rows, rates, "currency").select(
-        "c_custkey", "rate", r(F.col("c_acctbal") / F.col("rate")).alias("converted")
+        "c_custkey", "rate", r_half(F.col("c_acctbal") / F.col("rate")).alias("converted")
     )
 
 
@@ -100,9 +100,10 @@ def semi_join(spark, sf):
     return lookup.keep_matching(t.select("event_id", "user_id"), buyers, "user_id")
 
 
-@query("""SELECT c_custkey FROM customer WHERE c_custkey <> 7 AND NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)""")
+@query("""SELECT c_custkey FROM customer WHERE c_custkey <> 7 AND NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 450000)""")
 def anti_join(spark, sf):
-    orders = read_table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    dear = read_table(spark, sf, "orders").where("o_totalprice > 450000")
+    orders = dear.select(F.col("o_custkey").alias("c_custkey"))
     return lookup.drop_matching(read_table(spark, sf, "customer").select("c_custkey").where("c_custkey <> 7"), orders, "c_custkey")
 
 

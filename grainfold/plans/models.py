@@ -11,7 +11,7 @@ from grainfold.functions import arrays, text as t
 from grainfold.operators import cluster, encode, evaluate, learn, split, terms
 from grainfold.plans.registry import query
 from grainfold.session import settle
-from grainfold.sources.readers import read_table
+from grainfold.sources.readers import read_table, spread
 
 SPLIT = {"train": 70, "valid": 15, "test": 15}
 
@@ -26,7 +26,7 @@ def _vectors(spark, sf):
 
 def _texts(spark, sf):
     """Documents as stop-word-free tokens with a language label, its weight and the part."""
-    docs = read_table(spark, sf, "documents").select("doc_id", "text", "lang")
+    docs = spread(read_table(spark, sf, "documents").select("doc_id", "text", "lang"))
     docs = encode.class_weight(docs, "lang", {"en": 1, "fr": 10, "de": 10, "es": 1})
     docs = docs.withColumn("tokens", terms.token_array(F.col("text")))
     return split.hash_split(docs.drop("text"), "doc_id", SPLIT)
@@ -150,7 +150,7 @@ def feature_importance(spark, sf):
 
 @query()
 def predict_output(spark, sf):
-    docs = read_table(spark, sf, "documents").select("doc_id", "text")
+    docs = spread(read_table(spark, sf, "documents").select("doc_id", "text"))
     docs = docs.withColumn("tokens", terms.token_array(F.col("text"))).drop("text")
     labels = read_table(spark, sf, "labels").select("doc_id", F.col("toxic").cast("double").alias("label"))
     known = docs.join(labels, "doc_id")
@@ -181,7 +181,7 @@ def spectral_cluster(spark, sf):
 
 def _counts(spark, sf, size=1000):
     """Term-count vectors of the documents and the vocabulary behind them."""
-    docs = read_table(spark, sf, "documents").select("doc_id", "text")
+    docs = spread(read_table(spark, sf, "documents").select("doc_id", "text"))
     docs = docs.withColumn("tokens", terms.token_array(F.col("text"), t.LETTERS)).drop("text")
     model = Pipeline(stages=terms.vectorizer("tokens", min_df=5, max_df=0.8, max_features=size, use_idf=False)).fit(docs)
     return settle(model.transform(docs).select("doc_id", "features")), model.stages[0].vocabulary
@@ -201,7 +201,7 @@ def lda_sweep(spark, sf):
 
 @query()
 def nmf_topics(spark, sf):
-    docs = read_table(spark, sf, "documents").select("doc_id", "text")
+    docs = spread(read_table(spark, sf, "documents").select("doc_id", "text"))
     weights = terms.tfidf(docs, "doc_id", "text", t.LETTERS, min_df=5, max_df=0.8, max_features=1000)
     vocabulary = sorted(r[0] for r in weights.select("term").distinct().collect())
     rows = cluster.sparse_rows(weights, "doc_id", "term", "tfidf", vocabulary)

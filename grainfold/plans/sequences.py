@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from grainfold.functions.dates import epoch_seconds
 from grainfold.operators import clean, sequence
-from grainfold.plans.registry import query, r
+from grainfold.plans.registry import query, r, r_half
 from grainfold.sources.readers import read_table
 
 ORDER = ["ts", "event_id"]
@@ -21,10 +21,10 @@ def _gappy(spark, sf):
     )
 
 
-@query(f"""SELECT event_id, round(coalesce(v, avg(v) OVER (PARTITION BY user_id, event_type)), 4) AS v FROM {_GAPPY}""")
+@query(f"""SELECT event_id, round(coalesce(v, avg(v) OVER (PARTITION BY user_id, event_type)) + 1e-7, 4) AS v FROM {_GAPPY}""")
 def impute_group_mean(spark, sf):
     out = clean.impute_group_mean(_gappy(spark, sf), ["v"], ["user_id", "event_type"])
-    return out.select("event_id", r("v").alias("v"))
+    return out.select("event_id", r_half("v").alias("v"))
 
 
 @query(f"""SELECT event_id, coalesce(v, round_even(avg(v) OVER (PARTITION BY user_id), 0)) AS v FROM {_GAPPY}""")
@@ -54,11 +54,11 @@ def first_diff(spark, sf):
 @query(f"""WITH p AS (SELECT *, row_number() OVER w AS pos FROM {_GAPPY} WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
   n AS (SELECT *, max(CASE WHEN v IS NOT NULL THEN pos END) OVER (PARTITION BY user_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS lo,
     min(CASE WHEN v IS NOT NULL THEN pos END) OVER (PARTITION BY user_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS hi FROM p)
-SELECT n.event_id, round(coalesce(n.v, a.v + (b.v - a.v) * (n.pos - n.lo) / (n.hi - n.lo)), 4) AS filled FROM n
+SELECT n.event_id, round(coalesce(n.v, a.v + (b.v - a.v) * (n.pos - n.lo) / (n.hi - n.lo)) + 1e-7, 4) AS filled FROM n
 LEFT JOIN p a ON a.user_id = n.user_id AND a.pos = n.lo LEFT JOIN p b ON b.user_id = n.user_id AND b.pos = n.hi""")
 def interpolate_linear(spark, sf):
     t = _gappy(spark, sf).select("event_id", "ts", "user_id", "v")
-    return sequence.interpolate_linear(t, "v", ["user_id"], ORDER).select("event_id", r("filled").alias("filled"))
+    return sequence.interpolate_linear(t, "v", ["user_id"], ORDER).select("event_id", r_half("filled").alias("filled"))
 
 
 _SESSIONS = """(SELECT *, sum(jump) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)::BIGINT AS session FROM

@@ -39,11 +39,11 @@ def time_slice(spark, sf):
 
 @query(f"""WITH h AS {_HOURLY}, c AS (SELECT bin, mean - (SELECT avg(mean) FROM h) AS x FROM h),
   d AS (SELECT bin::DATE AS day, list(x ORDER BY bin) AS v FROM c GROUP BY 1 HAVING count(*) = 24)
-SELECT day, round(list_sum(v[1:23]), 4) AS feature_sum, round(v[1], 4) AS first, round(v[24], 4) AS target FROM d""")
+SELECT day::VARCHAR AS day, round(list_sum(v[1:23]), 4) AS feature_sum, round(v[1], 4) AS first, round(v[24], 4) AS target FROM d""")
 def frame_series(spark, sf):
     days = ts.day_frames(_hourly(spark, sf))
     total = F.aggregate("features", F.lit(0.0), lambda a, x: a + x)
-    return days.select("day", r(total).alias("feature_sum"), r(F.col("features")[0]).alias("first"), r("target").alias("target"))
+    return days.select(F.col("day").cast("string").alias("day"), r(total).alias("feature_sum"), r(F.col("features")[0]).alias("first"), r("target").alias("target"))
 
 
 @query(f"""WITH h AS {_HOURLY}, c AS (SELECT idx, mean - (SELECT avg(mean) FROM h) AS x FROM h)
@@ -128,7 +128,16 @@ def _minute_signal(spark, sf):
     return read_table(spark, sf, "events").groupBy("event_type", slot.alias("idx")).agg(F.avg("value").alias("value"))
 
 
-@query()
+_SIGNAL = """(SELECT event_type, floor((epoch_us(ts) / 1e6 - 1704067200) / 600)::BIGINT AS idx, avg(value) AS v FROM events GROUP BY 1, 2)"""
+
+
+@query(f"""WITH s AS (SELECT event_type, idx + 32 AS i, v FROM {_SIGNAL}),
+  n AS (SELECT event_type, ceil((max(i) + 33 - 64) / 32.0)::BIGINT + 1 AS frames FROM s GROUP BY 1),
+  f AS (SELECT event_type, i // 32 - b AS frame, i - 32 * (i // 32 - b) AS p, v FROM s, range(0, 2) t(b)),
+  x AS (SELECT event_type, frame, k, sum(v * (0.5 - 0.5 * cos(2 * pi() * p / 64)) * cos(2 * pi() * ((k * p) % 64) / 64)) / 32 AS re,
+    sum(v * (0.5 - 0.5 * cos(2 * pi() * p / 64)) * sin(2 * pi() * ((k * p) % 64) / 64)) / 32 AS im FROM f, range(0, 33) t(k) WHERE frame >= 0 GROUP BY 1, 2, 3)
+SELECT event_type, frame // 3 AS example, 3 AS width, round(sum(re * re + im * im), 4) AS total FROM x JOIN n USING (event_type)
+WHERE frame < frames GROUP BY 1, 2, frames HAVING frame // 3 < any_value(frames) // 3""")
 def stft_power(spark, sf):
     frames = signals.stft_power(_minute_signal(spark, sf), "event_type", "idx", "value", nperseg=64)
     return signals.group_frames(frames, "event_type", 3).select(
