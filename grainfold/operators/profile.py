@@ -34,7 +34,7 @@ def quantiles(
     df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Exact quantiles per group with linear interpolation: one row per group, ``q_<prob>``.
+    """Exact quantiles per group with linear interpolation: one row per group, columns q25, q50, ...
 
     Works on value counts and their running total, so no task holds a group's
     values; Spark's exact ``percentile`` would.
@@ -56,7 +56,7 @@ def quantiles(
         at_low = F.max(F.when((first <= low) & (low < F.col("_cum")), F.col(value)))
         at_high = F.max(F.when((first <= high) & (high < F.col("_cum")), F.col(value)))
         share = F.max(rank - low)
-        aggs.append((at_low + (at_high - at_low) * share).alias(f"q_{p:g}"))
+        aggs.append((at_low + (at_high - at_low) * share).alias(f"q{100 * p:g}".replace(".", "_")))
     return cum.groupBy(*keys).agg(*aggs)
 
 

@@ -131,7 +131,7 @@ def stft_power(
         first = block * frames_per_block
         count = min(frames_per_block, frames - first)
         if count <= 0:
-            return pd.DataFrame({"_key": [], "frame": [], "power": []})
+            return pd.DataFrame(columns=["_key", "frame", "power"])
         parts = np.lib.stride_tricks.sliding_window_view(x, nperseg)[::hop][:count]
         power = np.abs(np.fft.rfft(parts * window, axis=1) * scale) ** 2
         return pd.DataFrame({"_key": pdf["_key"].iloc[0], "frame": np.arange(first, first + count), "power": list(power)})
@@ -151,11 +151,12 @@ def group_frames(frames: DataFrame, key: str, width: int = 3) -> DataFrame:
     ).where(F.size("_f") == width).select(key, "example", F.transform("_f", lambda f: f["power"]).alias("power"))
 
 
-def _mexican_hat(step: float = 1 / 64, reach: float = 8.0) -> np.ndarray:
-    """Running integral of the Mexican hat, sampled every ``step`` on [-reach, reach]."""
-    x = np.arange(-reach, reach + step / 2, step)
-    psi = (1 - x * x) * np.exp(-x * x / 2) * (2 / (math.sqrt(3) * math.pi ** 0.25))
-    return np.cumsum(psi) * step
+def _mexican_hat(scale: int, reach: float = 8.0) -> np.ndarray:
+    """The Mexican hat at a scale, integrated over each sample's unit interval."""
+    half = int(reach * scale)
+    edges = (np.arange(-half, half + 2) - 0.5) / scale
+    integral = edges * np.exp(-edges * edges / 2) * (2 / (math.sqrt(3) * math.pi ** 0.25))
+    return np.diff(integral) * math.sqrt(scale)
 
 
 def cwt_ricker(
@@ -167,14 +168,7 @@ def cwt_ricker(
     with it; samples beyond the ends count as zero. Blocks see the kernel's reach
     on both sides.
     """
-    step, reach = 1 / 64, 8.0
-    integral = _mexican_hat(step, reach)
-    kernels = []
-    for s in scales:
-        half = int(reach * s)
-        edges = (np.arange(-half, half + 2) - 0.5) / s
-        at = np.clip(np.round((edges + reach) / step).astype(int), 0, len(integral) - 1)
-        kernels.append(np.diff(integral[at]) * math.sqrt(s))
+    kernels = [_mexican_hat(s) for s in scales]
     pad = max(len(k) // 2 for k in kernels)
     block = max(block, pad + 1)
 
@@ -188,6 +182,8 @@ def cwt_ricker(
             h = len(k) // 2
             rows.append(np.convolve(x[pad - h:pad + block + h], k[::-1], mode="valid"))
         own = np.sort(at[(at >= pad) & (at < pad + block)]) - pad
+        if len(own) == 0:
+            return pd.DataFrame(columns=["_key", "_i", "coef"])
         coefs = np.stack(rows, axis=1)[own]
         return pd.DataFrame({"_key": pdf["_key"].iloc[0], "_i": own + start, "coef": list(coefs)})
 

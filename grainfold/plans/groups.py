@@ -164,7 +164,7 @@ def class_price_stats(spark, sf):
     t = read_table(spark, sf, "lineitem").join(parts, F.col("l_partkey") == F.col("p_partkey")).select("p_type", "l_extendedprice")
     mid = profile.quantiles(t, ["p_type"], "l_extendedprice", [0.5])
     mean = t.groupBy("p_type").agg(r(F.avg("l_extendedprice")).alias("mean_price"))
-    return mean.join(mid, "p_type").select("p_type", "mean_price", r("`q_0.5`").alias("median_price"))
+    return mean.join(mid, "p_type").select("p_type", "mean_price", r("q50").alias("median_price"))
 
 
 @query("""SELECT round(sum(o_totalprice), 2) AS total, round(avg(o_totalprice), 4) AS mean, min(o_totalprice) AS low,
@@ -194,12 +194,12 @@ _DESCRIBED = ["l_quantity", "l_extendedprice", "l_discount"]
 
 
 @query(" UNION ALL ".join(f"""SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std,
-  min({c}) AS min, max({c}) AS max, round(quantile_cont({c}, 0.25), 4) AS "q_0.25", round(median({c}), 4) AS "q_0.5",
-  round(quantile_cont({c}, 0.75), 4) AS "q_0.75" FROM lineitem""" for c in _DESCRIBED))
+  min({c}) AS min, max({c}) AS max, round(quantile_cont({c}, 0.25), 4) AS q25, round(median({c}), 4) AS q50,
+  round(quantile_cont({c}, 0.75), 4) AS q75 FROM lineitem""" for c in _DESCRIBED))
 def describe(spark, sf):
     out = profile.describe(read_table(spark, sf, "lineitem"), _DESCRIBED)
-    rounded = ["mean", "std", "q_0.25", "q_0.5", "q_0.75"]
-    return out.select("column", "count", "min", "max", *[r(f"`{c}`").alias(c) for c in rounded])
+    rounded = ["mean", "std", "q25", "q50", "q75"]
+    return out.select("column", "count", "min", "max", *[r(c).alias(c) for c in rounded])
 
 
 @query(" UNION ALL ".join(f"""SELECT '{c}' AS "column", count(DISTINCT {c}) AS n_distinct FROM orders"""
