@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from grainfold.session import stored
+
 # fixed values: cabin names as they occur, and the class each stands for
 CABIN_CLASSES = {
     "economy": "economy", "Economy": "economy", "ECONOMY": "economy", "COACH": "economy",
@@ -17,9 +19,6 @@ CABIN_CLASSES = {
     "first": "first", "First": "first", "First Class": "first",
     "mixed": "mixed",
 }
-# groups whose statistics are broadcast by ``attach``
-HEAVY_GROUPS = 10_000
-
 # fixed values: prices that mean "no price"
 PRICE_SENTINELS = ["-1.0", "0.0", "9999.99", "99999.99", "999999.99"]
 
@@ -79,26 +78,16 @@ def union_common(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.select(*common).unionByName(b.select(*common))
 
 
-def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], rows: str = "_rows") -> DataFrame:
-    """Add the columns of ``stats`` (one row per key, ``rows`` = its rows in ``df``) to every row.
+def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add the columns of ``stats`` (an aggregate with one row per key) to every row.
 
-    The heaviest ``HEAVY_GROUPS`` groups, a table of fixed size, are broadcast:
-    their rows, however many, stay where they are, and so do rows with a NULL key
-    part, which get NULL. Only what is left is shuffled, and no group of it holds
-    more than 1 / HEAVY_GROUPS of the table. The aggregate behind ``stats`` is
-    combined on the map side and computed once for both.
+    A join instead of a window: the aggregate is combined on the map side, so a
+    group holding much of the table is never sorted in one task. It is stored
+    first, so its size is known: below Spark's broadcast threshold the rows are
+    not shuffled at all; above, the partitions of heavy keys are split (AQE skew
+    join). Rows with a NULL key part find nothing and get NULL.
     """
-    keys = list(keys)
-    extra = [c for c in stats.columns if c not in keys and c != rows]
-    heavy = stats.orderBy(F.desc(rows), *keys).limit(HEAVY_GROUPS).withColumn("_heavy", F.lit(True))
-    tagged = df.join(F.broadcast(heavy), keys, "left")
-    done = F.col("_heavy").isNotNull()
-    for k in keys:
-        done = done | F.col(k).isNull()
-    near = tagged.where(done).select(*df.columns, *extra)
-    rest = tagged.where(~done).select(*df.columns)
-    far = rest.join(stats.drop(rows), keys, "left").select(*df.columns, *extra)
-    return near.union(far)
+    return df.join(stored(stats), list(keys), "left")
 
 
 def _known_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -108,8 +97,7 @@ def _known_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def impute_group_mean(df: DataFrame, columns: Sequence[str], keys: Sequence[str], half_even: bool = False) -> DataFrame:
     """Fill NULLs with the group mean, rounded half-even to a whole number on request."""
     means = _known_keys(df, keys).groupBy(*keys).agg(
-        *[(F.bround(F.avg(c)) if half_even else F.avg(c)).alias(f"_mean_{c}") for c in columns],
-        F.count(F.lit(1)).alias("_rows"),
+        *[(F.bround(F.avg(c)) if half_even else F.avg(c)).alias(f"_mean_{c}") for c in columns]
     )
     out = attach(df, means, keys)
     return out.select(*[
@@ -121,14 +109,12 @@ def impute_group_mode(df: DataFrame, column: str, keys: Sequence[str]) -> DataFr
     """Fill NULLs with the group's most frequent value; of equally frequent ones the smallest."""
     known = _known_keys(df, [*keys, column]).groupBy(*keys, column).agg(F.count(F.lit(1)).alias("_n"))
     best = F.min(F.struct((-F.col("_n")).alias("n"), F.col(column).alias("v")))
-    modes = known.groupBy(*keys).agg(best["v"].alias("_mode"), F.sum("_n").alias("_rows"))
+    modes = known.groupBy(*keys).agg(best["v"].alias("_mode"))
     out = attach(df, modes, keys)
     return out.select(*[F.coalesce(c, "_mode").alias(c) if c == column else F.col(c) for c in df.columns])
 
 
 def group_size(df: DataFrame, keys: Sequence[str], name: str = "group_size") -> DataFrame:
     """Number of rows of the same group on every row."""
-    sizes = _known_keys(df, keys).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias(name), F.count(F.lit(1)).alias("_rows")
-    )
+    sizes = _known_keys(df, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
     return attach(df, sizes, keys)

@@ -11,33 +11,48 @@ from pyspark.sql import types as T
 
 from grainfold.operators.clean import attach
 from grainfold.operators.ordered import MAX_GROUP_ROWS, OrderedGroups
+from grainfold.session import stored
 
 
-def category_index(df: DataFrame, column: str, name: str, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Known values with their alphabetical number from 0, and their rows: (column, name, _rows)."""
-    values = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_rows"))
-    ranked = OrderedGroups(values, [], [column], max_group_rows).position("_pos").frame()
-    return ranked.select(column, (F.col("_pos") - 1).cast("int").alias(name), "_rows")
+def category_index(df: DataFrame, columns: Sequence[str], max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    """Known values of columns of one type with their alphabetical number from 0: (column, value, code).
+
+    One pass over the rows for all columns.
+    """
+    long = df.select(*columns).unpivot([], list(columns), "column", "value")
+    values = stored(long.where(F.col("value").isNotNull()).distinct())
+    ranked = OrderedGroups(values, ["column"], ["value"], max_group_rows).position("_pos").frame()
+    return ranked.select("column", "value", (F.col("_pos") - 1).cast("int").alias("code"))
 
 
 def category_codes(df: DataFrame, columns: Sequence[str], suffix: str = "_code") -> DataFrame:
     """Alphabetical integer code of every category column; NULL becomes -1."""
+    by_type = {}
     for c in columns:
-        df = attach(df, category_index(df, c, c + suffix), [c]).withColumn(
-            c + suffix, F.coalesce(c + suffix, F.lit(-1))
-        )
+        by_type.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
+    for same in by_type.values():
+        index = stored(category_index(df, same))
+        for c in same:
+            codes = index.where(F.col("column") == c).select(F.col("value").alias(c), F.col("code").alias(c + suffix))
+            df = df.join(codes, c, "left").withColumn(c + suffix, F.coalesce(c + suffix, F.lit(-1)))
     return df
 
 
-def one_hot(df: DataFrame, column: str, levels: Sequence[str], drop: str | None = None) -> DataFrame:
-    """A 0/1 column ``<column>_<level>`` per level, except the dropped one; NULL is 0 everywhere."""
-    flags = {
-        f"{column}_{v}": F.coalesce((F.col(column) == v).cast("int"), F.lit(0)) for v in levels if v != drop
-    }
+def one_hot(df: DataFrame, column: str, levels: Sequence, drop=None) -> DataFrame:
+    """A 0/1 column ``<column>_<level>`` per level, except the dropped one; NULL is 0 everywhere.
+
+    Numbers are written without a trailing ``.0``, and other dots as ``_``.
+    """
+    flags = {}
+    for v in levels:
+        if v != drop:
+            name = f"{v:g}" if isinstance(v, float) else str(v)
+            flag = F.coalesce((F.col(column) == v).cast("int"), F.lit(0))
+            flags[f"{column}_{name}".replace(".", "_")] = flag
     return df.withColumns(flags)
 
 
-def levels(df: DataFrame, column: str, limit: int = 10_000) -> list[str]:
+def levels(df: DataFrame, column: str, limit: int = 10_000) -> list:
     """The levels of a category column in alphabetical order, as driver-side names for columns."""
     found = [r[0] for r in df.where(F.col(column).isNotNull()).select(column).distinct().limit(limit + 1).collect()]
     if len(found) > limit:
@@ -55,7 +70,7 @@ def label_indexer(train: DataFrame, label: str, out: str = "label") -> StringInd
 def class_weight(df: DataFrame, label: str, weights: Mapping | None = None, name: str = "weight") -> DataFrame:
     """Weight per row: from a fixed map (1 if absent), or one over the class size."""
     if weights is None:
-        sizes = df.groupBy(label).agg((1.0 / F.count(F.lit(1))).alias(name), F.count(F.lit(1)).alias("_rows"))
+        sizes = df.groupBy(label).agg((1.0 / F.count(F.lit(1))).alias(name))
         return attach(df, sizes, [label])
     pairs = [F.lit(x) for k, v in weights.items() for x in (k, float(v))]
     looked_up = F.try_element_at(F.create_map(*pairs), F.col(label))

@@ -90,9 +90,18 @@ def profile_by_factor(df: DataFrame, factors: Sequence[str], values: Sequence[st
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Lower triangle of the Pearson matrix as (a, b, r); rows with a NULL in a pair are skipped."""
+    """Lower triangle of the Pearson matrix as (a, b, r).
+
+    Rows with a NULL in a pair are skipped; r is NULL for a constant column, where
+    Spark's ``corr`` raises under ANSI mode.
+    """
     pairs = [(b, a) for a, b in combinations(columns, 2)]
-    row = df.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+
+    def r(a: str, b: str) -> Column:
+        x, y = F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b))
+        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+    row = df.agg(*[r(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     cells = F.array(*[
         F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("r"))
         for i, (a, b) in enumerate(pairs)

@@ -54,3 +54,15 @@ def settle(df: DataFrame) -> DataFrame:
     if not context.getCheckpointDir():
         context.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write a result much smaller than its input as a table in the shared folder, and read that.
+
+    It is computed once however often it is used, plans that use it do not grow
+    with it, and Spark knows its true size: joins with it are broadcast below
+    ``spark.sql.autoBroadcastJoinThreshold`` and shuffled above.
+    """
+    path = scratch(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -4,10 +4,15 @@ from pyspark.sql import functions as F
 from grainfold.operators import clean, encode, lookup, profile, recommend, split
 
 
-@pytest.fixture
-def few_heavy(monkeypatch):
-    """Only the heaviest group is broadcast, so that both halves of ``attach`` work."""
-    monkeypatch.setattr(clean, "HEAVY_GROUPS", 1)
+@pytest.fixture(params=["broadcast", "shuffle"])
+def join_kind(request, spark):
+    """Statistics below and above the broadcast threshold."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    if request.param == "shuffle":
+        spark.conf.set(name, -1)
+    yield request.param
+    spark.conf.set(name, before)
 
 
 DATA = [(1, "a", "x", 1.0), (2, "a", "x", None), (3, "a", "y", 4.0), (4, "b", "y", 2.0), (5, "b", None, None),
@@ -19,30 +24,37 @@ def df(spark):
     return spark.createDataFrame(DATA, "id int, k string, c string, v double")
 
 
-def test_group_mean(df, few_heavy, as_rows):
+def test_group_mean(df, join_kind, as_rows):
     got = dict(as_rows(clean.impute_group_mean(df, ["v"], ["k"]).select("id", "v")))
     # no known value in group c, NULL key: stays NULL
     assert got == {1: 1.0, 2: 2.5, 3: 4.0, 4: 2.0, 5: 2.0, 6: None, 7: None, 8: 9.0}
 
 
-def test_group_mean_half_even(df, few_heavy, as_rows):
+def test_group_mean_half_even(df, join_kind, as_rows):
     got = dict(as_rows(clean.impute_group_mean(df, ["v"], ["k"], half_even=True).select("id", "v")))
     assert got[2] == 2.0  # 2.5 rounds to the even neighbour
 
 
-def test_group_mode_ties_take_the_smallest(spark, few_heavy, as_rows):
+def test_group_mode_ties_take_the_smallest(spark, join_kind, as_rows):
     df = spark.createDataFrame([(1, "a", "y"), (2, "a", "x"), (3, "a", None), (4, "b", None)], "id int, k string, c string")
     assert dict(as_rows(clean.impute_group_mode(df, "c", ["k"]).select("id", "c"))) == {1: "y", 2: "x", 3: "x", 4: None}
 
 
-def test_group_size_and_deviation(df, few_heavy, as_rows):
+def test_group_size_and_deviation(df, join_kind, as_rows):
     assert dict(as_rows(clean.group_size(df, ["k"]).select("id", "group_size"))) == {
         1: 3, 2: 3, 3: 3, 4: 2, 5: 2, 6: 1, 7: None, 8: None}
     got = dict(as_rows(lookup.peer_deviation(df, "v", ["k"]).select("id", "deviation")))
     assert got == {1: -1.5, 2: None, 3: 1.5, 4: 0.0, 5: None, 6: None, 7: None, 8: None}
 
 
-def test_attach_keeps_every_row(spark, few_heavy):
+def test_attach_shuffles_rows_only_above_the_threshold(spark, join_kind):
+    out = clean.group_size(spark.range(100).selectExpr("id", "id % 7 k"), ["k"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert ("BroadcastHashJoin" in plan) == (join_kind == "broadcast")
+    assert ("SortMergeJoin" in plan) == (join_kind == "shuffle")
+
+
+def test_attach_keeps_every_row(spark, join_kind):
     big = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
     out = clean.group_size(big, ["k"])
     assert out.count() == 3000
@@ -50,7 +62,7 @@ def test_attach_keeps_every_row(spark, few_heavy):
     assert out.where("k <> 0 and group_size <> 1").count() == 0
 
 
-def test_canonical_code_first_seen(spark, few_heavy, as_rows):
+def test_canonical_code_first_seen(spark, join_kind, as_rows):
     data = [(1, "N", "B"), (2, "N", "A"), (3, "M", "C"), (4, "M", "C")]
     df = spark.createDataFrame(data, "pos int, name string, code string")
     assert as_rows(lookup.use_canonical_code(df, "name", "code", "pos").select("pos", "code")) == [(1, "B"), (2, "B"), (3, "C"), (4, "C")]
@@ -89,6 +101,7 @@ def test_profiles(spark, df, as_rows):
     got = profile.profile_by_factor(df, ["k", "c"], ["v"]).where("factor = 'k' and level is null").first()
     assert got.n == 2 and got.avg_v == 9.0
     flat = spark.createDataFrame([(1, 5.0), (2, 5.0)], "i int, v double")
+    assert as_rows(profile.corr_matrix(flat, ["i", "v"])) == [("v", "i", None)]
     assert [r.s for r in profile.minmax_norm(flat, "v", "s").collect()] == [0.0, 0.0]
 
 
