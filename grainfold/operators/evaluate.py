@@ -68,7 +68,7 @@ def roc_auc(df: DataFrame, label: str, score: str, max_group_rows: int = MAX_GRO
     counts = df.groupBy(F.col(score).alias("_score")).agg(
         F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg")
     )
-    run = OrderedGroups(counts, [], ["_score"], max_group_rows, bound=df).running_sum("_below", F.col("_neg")).frame()
+    run = OrderedGroups(counts, [], ["_score"], max_group_rows, at_most=df.count()).running_sum("_below", F.col("_neg")).frame()
     wins = F.col("_pos") * (F.col("_below") - F.col("_neg") / 2)
     return run.agg(F.try_divide(F.sum(wins), F.sum("_pos") * F.sum("_neg").cast("double")).alias("auc"))
 

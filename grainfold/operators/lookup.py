@@ -27,11 +27,15 @@ def dim_lookup(df: DataFrame, dim: DataFrame, on: str, code: str, columns: Seque
 
 
 def keep_matching(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    return df.join(keys, on, "left_semi")
+    """Rows whose key occurs in ``keys``; a key that occurs often there is reduced to one row first."""
+    on = [on] if isinstance(on, str) else list(on)
+    return df.join(keys.select(*on).distinct(), on, "left_semi")
 
 
 def drop_matching(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    return df.join(keys, on, "left_anti")
+    """Rows whose key does not occur in ``keys``."""
+    on = [on] if isinstance(on, str) else list(on)
+    return df.join(keys.select(*on).distinct(), on, "left_anti")
 
 
 def pair_check(a: DataFrame, b: DataFrame, key: str) -> DataFrame:

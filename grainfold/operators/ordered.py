@@ -43,13 +43,11 @@ class OrderedGroups:
         keys: Sequence[str],
         order: Sequence[str],
         max_group_rows: int = MAX_GROUP_ROWS,
-        bound: DataFrame | None = None,
+        at_most: int | None = None,
     ):
-        """``bound`` is a table cheaper to count whose groups are at least as large as those of ``df``."""
+        """``at_most`` is an upper bound of the largest group, if one is known already."""
         self.keys, self.order = list(keys), list(order)
-        self.split = (bound is None or largest_group(bound, self.keys) > max_group_rows) and (
-            largest_group(df, self.keys) > max_group_rows
-        )
+        self.split = (at_most is None or at_most > max_group_rows) and largest_group(df, self.keys) > max_group_rows
         if self.split:
             # an explicit partition number keeps AQE from merging the ranges
             parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

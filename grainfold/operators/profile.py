@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grainfold.operators.ordered import MAX_GROUP_ROWS, OrderedGroups
+from grainfold.session import stored
 
 
 def completeness(df: DataFrame) -> DataFrame:
@@ -40,14 +41,17 @@ def quantiles(
     values; Spark's exact ``percentile`` would.
     """
     keys = list(keys)
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    cum = OrderedGroups(counts, keys, [value], max_group_rows, bound=df).running_sum("_cum", F.col("_n")).frame()
-    totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
+    known = df.where(F.col(value).isNotNull())
+    totals = stored(known.groupBy(*keys).agg(F.count(F.lit(1)).alias("_total")))
+    largest = totals.agg(F.max("_total")).first()[0] or 0
+    counts = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    cum = OrderedGroups(counts, keys, [value], max_group_rows, at_most=largest)
+    cum = cum.running_sum("_cum", F.col("_n")).frame()
     if keys:
         on = [cum[k].eqNullSafe(totals[k]) for k in keys]
         cum = cum.join(totals, on, "left").select(*[cum[k] for k in keys], value, "_n", "_cum", "_total")
     else:
-        cum = cum.withColumn("_total", totals.select("_total").scalar())
+        cum = cum.withColumn("_total", F.lit(largest))
     first = F.col("_cum") - F.col("_n")  # 0-based rank of the value's first copy
     aggs = []
     for p in probs:

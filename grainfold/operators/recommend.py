@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from grainfold.functions.text import genre_score, title_year
 from grainfold.operators.profile import minmax_norm
+from grainfold.session import stored
 
 
 def tag_profile(tags: DataFrame, item: str, tag: str) -> DataFrame:
@@ -52,7 +53,7 @@ def rank_items(
     if need_year:
         described = described.where(title_year(F.col(title)).isNotNull())
     described = described.select(item, title, genre(F.col(genres)).alias("_genre"))
-    scaled = minmax_norm(tag_scores, "tag_score", "_tag").select(item, "_tag")
+    scaled = minmax_norm(stored(tag_scores), "tag_score", "_tag").select(item, "_tag")
     return (
         described.join(liked, item, "left_semi")
         .join(scaled, item)

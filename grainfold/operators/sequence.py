@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grainfold.operators.ordered import MAX_GROUP_ROWS, OrderedGroups
+from grainfold.operators.ordered import MAX_GROUP_ROWS, OrderedGroups, largest_group
 
 JUMP_LOOK_AHEAD = 4
 
@@ -73,7 +73,7 @@ def merge_intervals(
     shortens the one around it.
     """
     spans = df.groupBy(*keys, start).agg(F.max(end).alias(end))
-    rows = OrderedGroups(spans, keys, [start], max_group_rows, bound=df).max_before("_reach", F.col(end))
+    rows = OrderedGroups(spans, keys, [start], max_group_rows, at_most=largest_group(df, keys)).max_before("_reach", F.col(end))
     fresh = F.when(F.col(start) > F.col("_reach"), 1).otherwise(0).cast("long")
     islands = rows.running_sum("_island", fresh).frame()
     return islands.groupBy(*keys, "_island").agg(

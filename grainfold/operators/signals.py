@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from grainfold.operators.clean import attach
 from grainfold.operators.sequence import halo_blocks
 
 
@@ -21,7 +22,7 @@ def periodogram(series: DataFrame, index: str, value: str, max_bin: int, keys: S
     """
     sizes = series.groupBy(*keys).agg(F.count(value).alias("_n"))
     if keys:
-        rows = series.join(sizes, list(keys))
+        rows = attach(series, sizes, keys)
     else:
         rows = series.withColumn("_n", sizes.select("_n").scalar())
     angle = 2 * math.pi * F.pmod(F.col("k") * F.col(index), F.col("_n")) / F.col("_n")
@@ -136,7 +137,7 @@ def stft_power(
         power = np.abs(np.fft.rfft(parts * window, axis=1) * scale) ** 2
         return pd.DataFrame({"_key": pdf["_key"].iloc[0], "frame": np.arange(first, first + count), "power": list(power)})
 
-    cut = halo_blocks(padded, "_i", size, 0, nperseg).where("block >= 0").join(lengths, "_key")
+    cut = attach(halo_blocks(padded, "_i", size, 0, nperseg).where("block >= 0"), lengths, ["_key"])
     kind = samples.schema[key].dataType.simpleString()
     return cut.groupBy("_key", "block").applyInPandas(
         transform, f"_key {kind}, frame long, power array<double>"

@@ -33,8 +33,8 @@ def test_largest_group(skewed):
 def test_split_path_is_taken(skewed):
     assert not OrderedGroups(skewed, ["k"], ["t", "id"], PLAIN).split
     assert OrderedGroups(skewed, ["k"], ["t", "id"], SPLIT).split
-    # a bound that is small enough settles it without counting the rows
-    assert not OrderedGroups(skewed, ["k"], ["id"], SPLIT, bound=skewed.limit(5)).split
+    # a bound that is small enough settles it
+    assert not OrderedGroups(skewed, ["k"], ["id"], SPLIT, at_most=5).split
 
 
 def test_first_diff(skewed, as_rows):
