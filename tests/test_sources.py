@@ -64,7 +64,7 @@ def test_segments_and_listing(spark, tmp_path):
 
 
 def test_written_layout(spark, tmp_path):
-    df = spark.createDataFrame([(1, 0.25)], "id int, p double")
+    df = spark.createDataFrame([(1, 0.25)], "id int, p double").coalesce(1)
     writers.write_csv(df, str(tmp_path / "out"), {"id": "id", "p": "output"}, sep=";")
     part = next((tmp_path / "out").glob("*.csv"))
     assert part.read_text() == "id;output\n1;0.25\n"
