@@ -179,6 +179,12 @@ def spectral_cluster(spark, sf):
     return cluster.spectral_sweep(rows, "vec_id", "x", ks=[2, 5, 8])
 
 
+@query()
+def pic_cluster(spark, sf):
+    rows = read_table(spark, sf, "embeddings").select("vec_id", arrays.l2_normalize(F.col("embedding")).alias("x"))
+    return cluster.pic_clusters(rows, "vec_id", "x", k=5)
+
+
 def _counts(spark, sf, size=1000):
     """Term-count vectors of the documents and the vocabulary behind them."""
     docs = spread(read_table(spark, sf, "documents").select("doc_id", "text"))
