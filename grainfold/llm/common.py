@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +30,11 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), BLANKS), lambda w: w != "")
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with ``value`` worked out once per row, also where ``use`` has it inside a lambda."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text as long; null gives 0."""
     return F.size(words(text)).cast("long")
@@ -151,3 +156,16 @@ def shingle_hashes(hashes: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.n
 
 def arrow_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return (b for b in batches if b.num_rows)
+
+
+def settled_broadcast(df: DataFrame, row_bytes: int, most_bytes: int = 32 << 20) -> DataFrame:
+    """``df`` (a stored table) marked for broadcast if its rows, counted here, stay below ``most_bytes``.
+
+    Beyond that it is returned as it is, and Spark shuffles the join.
+    """
+    return F.broadcast(df) if df.count() * row_bytes <= most_bytes else df
+
+
+def row_identity(df: DataFrame, key: str, text: str) -> DataFrame:
+    """Adds ``_id`` and ``_tx``, hashes of key and text: rows that agree in both are one document here."""
+    return df.withColumns({"_id": F.xxhash64(F.col(key)), "_tx": F.xxhash64(F.col(text), F.lit(1))})

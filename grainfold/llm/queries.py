@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grainfold.llm import langid, licences, mixing, token_counts
+from grainfold.llm import decontaminate, langid, licences, mixing, pii, token_counts
 from grainfold.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,17 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+@query(decontaminate.LEAKS_SQL)
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.pseudonymise(table(spark, sf_dir, "documents"), os.environ.get("PII_SECRET", "not a secret: set PII_SECRET"))
+    return found.select("doc_id", "text", "n_pseudonyms")
+
+
 @query(mixing.MIX_SQL.format(documents="documents"))
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
