@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grainfold.llm import decontaminate, langid, licences, line_dedup, mixing, pii, token_counts
+from grainfold.llm import decontaminate, langid, licences, line_dedup, mixing, ngram_join, pii, token_counts
 from grainfold.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +50,11 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
 
+@query(ngram_join.JOIN_SQL)
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 @query()
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.pseudonymise(table(spark, sf_dir, "documents"), os.environ.get("PII_SECRET", "not a secret: set PII_SECRET"))
