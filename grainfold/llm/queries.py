@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grainfold.llm import decontaminate, langid, licences, line_dedup, mixing, ngram_join, pii, token_counts
+from grainfold.llm import decontaminate, gru_lm, langid, licences, line_dedup, mixing, ngram_join, pii, token_counts
 from grainfold.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,6 +61,11 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "text", "n_pseudonyms")
 
 
+@query()
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gru_lm.score_texts(table(spark, sf_dir, "documents"))
+
+
 @query(mixing.MIX_SQL.format(documents="documents"))
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
