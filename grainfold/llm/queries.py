@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grainfold.llm import decontaminate, gru_lm, langid, licences, line_dedup, mixing, ngram_join, pii, token_counts
+from grainfold.llm import ann, decontaminate, gru_lm, langid, licences, line_dedup, mixing, ngram_join, pii, token_counts
 from grainfold.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,6 +71,11 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0).select("query_id", "rank", "vec_id", "score")
+
+
 @query()
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict_language(table(spark, sf_dir, "documents"))
