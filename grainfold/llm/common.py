@@ -169,3 +169,8 @@ def settled_broadcast(df: DataFrame, row_bytes: int, most_bytes: int = 32 << 20)
 def row_identity(df: DataFrame, key: str, text: str) -> DataFrame:
     """Adds ``_id`` and ``_tx``, hashes of key and text: rows that agree in both are one document here."""
     return df.withColumns({"_id": F.xxhash64(F.col(key)), "_tx": F.xxhash64(F.col(text), F.lit(1))})
+
+
+def packed(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``key``, ``text``, ``_id``, ``_tx`` and all columns of ``docs`` as the struct ``_doc``, so that no names clash."""
+    return row_identity(docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")), "key", "text")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grainfold.llm.common import bound, row_identity, settled_broadcast
+from grainfold.llm.common import bound, packed, row_identity, settled_broadcast
 from grainfold.session import stored
 
 SHINGLE_WORDS = 5
@@ -112,7 +112,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: s
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``docs`` without the rows in which ``find_leaks`` finds an item; all columns are kept."""
     found = stored(_matches(docs, benchmark, text, key, "text", "item_id").select("_id", "_tx").distinct())
-    return row_identity(docs, key, text).join(settled_broadcast(found, 16), ["_id", "_tx"], "left_anti").select(*docs.columns)
+    return packed(docs, key, text).join(settled_broadcast(found, 16), ["_id", "_tx"], "left_anti").select("_doc.*")
 
 
 #: The same rows in DuckDB.

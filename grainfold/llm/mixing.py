@@ -50,22 +50,8 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], budget: float, mo
     )
 
 
-def mix_sources(
-    docs: DataFrame, weights: Sequence[float] = (5, 2, 1), budget: float = 1.5, most: int = 2, text: str = "text", key: str = "doc_id", source: str = "source"
-) -> DataFrame:
-    """How many words the mix takes of each document.
-
-    Gives the key, ``source``, ``size`` (words), ``source_size``, ``target`` (of the source) and
-    ``taken`` (words, repeats counted), one row per input row. Each document is taken as often as
-    its source's target holds the whole source, and once more if its hash is below the source's
-    threshold: the place where the sum of sizes in hash order comes nearest to what is left.
-    ``most`` bounds how often a document is taken.
-
-    Null or blank texts have size 0 and take nothing; a null source is a source of its own, last
-    in order; rows with equal keys share a hash and are taken together; an empty table gives an
-    empty result. Other columns of the input don't matter, whatever their names.
-    """
-    base = stored(docs.select(F.col(key).alias("_key"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), key_hash(F.col(key)).alias("_hash")))
+def _limits(base: DataFrame, weights: Sequence[float], budget: float, most: int) -> DataFrame:
+    """Per source ``_s``: ``source_size``, ``target``, how often all documents are taken, and the hash below which once more."""
     totals = base.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = source_targets(totals, weights, budget, most)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
@@ -76,14 +62,12 @@ def mix_sources(
     shift = HASH_BITS
     while shift > 0:
         finer = shift - LEVEL_BITS
-        bucket = F.shiftright("_hash", finer)
         inside = base.select("source", "_hash", "size").join(
             edges.select(F.col("source").alias("_s"), "_edge"), F.col("source").eqNullSafe(F.col("_s")) & (F.shiftright("_hash", shift) == F.col("_edge")) & (F.col("size") > 0)
         )
-        counts = inside.groupBy("source", bucket.alias("_bucket")).agg(F.sum("size").alias("_words"))
-        running = Window.partitionBy("source").orderBy("_bucket")
+        counts = inside.groupBy("source", F.shiftright("_hash", finer).alias("_bucket")).agg(F.sum("size").alias("_words"))
         over = (
-            counts.withColumn("_to", F.sum("_words").over(running))
+            counts.withColumn("_to", F.sum("_words").over(Window.partitionBy("source").orderBy("_bucket")))
             .join(edges.select(F.col("source").alias("_s"), "_left", "_below"), F.col("source").eqNullSafe(F.col("_s")))
             .where(F.col("_below") + F.col("_to") > F.col("_left"))
             .groupBy("_s")
@@ -94,11 +78,36 @@ def mix_sources(
         shift = finer
     # the documents at the threshold itself come along if that is nearer to the target
     nearer = F.col("_below") + F.col("_words") - F.col("_left") < F.col("_left") - F.col("_below")
-    limits = plan.join(edges.select(F.col("source").alias("_s"), (F.col("_edge") + nearer.cast("long")).alias("_limit")), F.col("source").eqNullSafe(F.col("_s")), "left").select(
-        F.col("source").alias("_s"), "source_size", "target", "_whole", F.when(F.col("_left") > 0, F.coalesce("_limit", F.lit(1 << HASH_BITS))).otherwise(0).alias("_limit")
-    )
+    ends = edges.select(F.col("source").alias("_s"), (F.col("_edge") + nearer.cast("long")).alias("_limit"))
+    limit = F.when(F.col("_left") > 0, F.coalesce("_limit", F.lit(1 << HASH_BITS))).otherwise(0).alias("_limit")
+    return plan.join(ends, F.col("source").eqNullSafe(F.col("_s")), "left").select(F.col("source").alias("_s"), "source_size", "target", "_whole", limit)
+
+
+def mix_documents(
+    docs: DataFrame, weights: Sequence[float] = (5, 2, 1), budget: float = 1.5, most: int = 2, text: str = "text", key: str = "doc_id", source: str = "source"
+) -> DataFrame:
+    """``docs`` as the struct ``_doc``, with what the mix takes of each row.
+
+    Gives ``_doc``, ``source``, ``size`` (words), ``source_size``, ``target`` (of the source) and ``taken`` (words, repeats
+    counted), one row per input row. Each document is taken as often as its source's target holds the whole source, and once
+    more if its hash is below the source's threshold: the place where the sum of sizes in hash order comes nearest to what
+    is left. ``most`` bounds how often a document is taken.
+
+    Null or blank texts have size 0 and take nothing; a null source is a source of its own, last
+    in order; rows with equal keys share a hash and are taken together; an empty table gives an
+    empty result. Other columns don't matter, whatever their names.
+    """
+    measured = [F.col(source).alias("source"), word_count(F.col(text)).alias("size"), key_hash(F.col(key)).alias("_hash")]
+    limits = stored(_limits(stored(docs.select(*measured)), weights, budget, most))
     taken = F.col("size") * (F.col("_whole") + (F.col("_hash") < F.col("_limit")).cast("long"))
-    return base.join(limits, F.col("source").eqNullSafe(F.col("_s"))).select(F.col("_key").alias(key), "source", "size", "source_size", "target", taken.alias("taken"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), *measured)
+    return rows.join(limits, F.col("source").eqNullSafe(F.col("_s"))).select("_doc", "source", "size", "source_size", "target", taken.alias("taken"))
+
+
+def mix_sources(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
+    """Key, ``source``, ``size``, ``source_size``, ``target`` and ``taken`` of each row, as ``mix_documents`` has them."""
+    mixed = mix_documents(docs, key=key, **options)
+    return mixed.select(F.col(f"_doc.`{key}`").alias(key), "source", "size", "source_size", "target", "taken")
 
 
 #: The same rows in DuckDB, with the default weights.

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grainfold.llm.common import WordHasher, bounded_batches, mix64, row_identity, settled_broadcast, shingle_hashes
+from grainfold.llm.common import WordHasher, bounded_batches, mix64, packed, row_identity, settled_broadcast, shingle_hashes
 from grainfold.llm.groups import components
 from grainfold.session import stored
 
@@ -260,17 +260,17 @@ def keep_one(docs: DataFrame, width: int = 5, similar: Fraction = Fraction(4, 5)
     groups = stored(join_groups(docs, width, similar, text, key))
     grouped = groups.where(F.col("group").isNotNull())
     order = F.struct(F.col(key).isNull(), F.col(key), F.col("_tx"), F.col("_id")).alias("o")
-    first = grouped.groupBy("group").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("rows"))
+    first = grouped.groupBy("group").agg(F.min(order).alias("first"))
     chosen = stored(first.select(F.col("first._id").alias("_id"), F.col("first._tx").alias("_tx")))
     wordless = groups.where(F.col("group").isNull()).select("_id", "_tx").distinct()
     again = stored(grouped.groupBy("_id", "_tx").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("_id", "_tx"))
-    rows = row_identity(docs, key, text)
+    rows = packed(docs, key, text)
     kept = rows.join(settled_broadcast(chosen, 32), ["_id", "_tx"], "left_semi")
     repeated = settled_broadcast(again, 32)
     single = kept.join(repeated, ["_id", "_tx"], "left_anti")
     once = kept.join(repeated, ["_id", "_tx"], "left_semi").dropDuplicates(["_id", "_tx"])
     empty = rows.join(settled_broadcast(stored(wordless), 32), ["_id", "_tx"], "left_semi")
-    return single.select(*docs.columns).unionAll(once.select(*docs.columns)).unionAll(empty.select(*docs.columns))
+    return single.select("_doc.*").unionAll(once.select("_doc.*")).unionAll(empty.select("_doc.*"))
 
 
 #: The same rows in DuckDB, comparing all documents that share one of the last shingles in order of frequency.
