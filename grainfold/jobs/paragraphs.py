@@ -9,19 +9,18 @@ from pyspark.sql import functions as F
 
 from grainfold.functions import text as t
 from grainfold.operators import cluster, sequence, terms
-from grainfold.operators.ordered import MAX_GROUP_ROWS
 from grainfold.session import settle
 
 LINE = ["block", "row"]
 
 
-def paragraphs(tokens: DataFrame, dictionary: DataFrame, jump: float = 30, min_length: int = 20, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def paragraphs(tokens: DataFrame, dictionary: DataFrame, jump: float = 30, min_length: int = 20) -> DataFrame:
     """Paragraph texts per file: a new one starts where y0 jumps; only dictionary words are kept.
 
     ``tokens`` comes from ``scan_tokens``; ``dictionary`` has one column ``word``.
     """
     words = tokens.withColumn("word", F.trim(t.clean_token(F.col("word"))))
-    cut = sequence.gap_sessions(words, F.col("y0"), jump, ["file"], LINE, "paragraph", max_group_rows)
+    cut = sequence.gap_sessions(words, F.col("y0"), jump, ["file"], LINE, "paragraph")
     known = terms.keep_known_words(cut.where(F.length("word") > 0), "word", dictionary)
     return sequence.session_concat(known, "word", ["file", "paragraph"], LINE, min_length)
 

@@ -10,18 +10,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from grainfold.operators.clean import attach
-from grainfold.operators.ordered import MAX_GROUP_ROWS, OrderedGroups
+from grainfold.operators.ordered import OrderedGroups
 from grainfold.session import stored
 
 
-def category_index(df: DataFrame, columns: Sequence[str], max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def category_index(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Known values of columns of one type with their alphabetical number from 0: (column, value, code).
 
     One pass over the rows for all columns.
     """
     long = df.select(*columns).unpivot([], list(columns), "column", "value")
     values = stored(long.where(F.col("value").isNotNull()).distinct())
-    ranked = OrderedGroups(values, ["column"], ["value"], max_group_rows).position("_pos").frame()
+    ranked = OrderedGroups(values, ["column"], ["value"]).position("_pos").frame()
     return ranked.select("column", "value", (F.col("_pos") - 1).cast("int").alias("code"))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grainfold.operators.ordered import MAX_GROUP_ROWS, OrderedGroups
+from grainfold.operators.ordered import OrderedGroups
 
 
 def confusion(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -59,16 +59,16 @@ def log_loss(df: DataFrame, label: str, probability: str, eps: float = 1e-15) ->
     return df.agg((-F.avg(F.when(F.col(label) == 1, F.ln(p)).otherwise(F.ln(1 - p)))).alias("log_loss"))
 
 
-def roc_auc(df: DataFrame, label: str, score: str, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     """Area under the ROC curve of a 0/1 label, ties counted half.
 
     Rows are first counted per distinct score; the running total over scores is
-    the only ordered step, and is itself split when there are many scores.
+    the only ordered step, and is itself split.
     """
     counts = df.groupBy(F.col(score).alias("_score")).agg(
         F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg")
     )
-    run = OrderedGroups(counts, [], ["_score"], max_group_rows, at_most=df.count()).running_sum("_below", F.col("_neg")).frame()
+    run = OrderedGroups(counts, [], ["_score"]).running_sum("_below", F.col("_neg")).frame()
     wins = F.col("_pos") * (F.col("_below") - F.col("_neg") / 2)
     return run.agg(F.try_divide(F.sum(wins), F.sum("_pos") * F.sum("_neg").cast("double")).alias("auc"))
 

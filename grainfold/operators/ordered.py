@@ -1,13 +1,11 @@
 """Order-dependent columns over groups of any size.
 
-A plain window sorts a whole group in one task, which is right until one group
-holds a large share of the table. ``OrderedGroups`` counts the largest group
-first. Below ``max_group_rows`` it uses plain windows. Above, the rows are range
-partitioned on (group, order), so that a large group spreads over many
-partitions; every value is then computed inside a (group, partition) piece and
-corrected by what the earlier pieces of the same group carry over. There is one
-carry row per piece, so the second window handles at most one row per partition
-and group.
+A plain window sorts a whole group in one task, however large it is. Here rows are
+range partitioned on (group, order), so that a large group, or a table without
+groups, spreads over many partitions; every value is then computed inside a
+(group, partition) piece and corrected by what the earlier pieces of the same
+group carry over. There is one carry row per piece, so the second window handles
+at most one row per partition and group.
 """
 
 from __future__ import annotations
@@ -19,16 +17,9 @@ from pyspark.sql import functions as F
 
 from grainfold.session import settle
 
-MAX_GROUP_ROWS = 2_000_000
 _PIECE = "_piece"
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows in the largest group; only the key columns are read."""
-    counts = df.groupBy(*keys).count() if keys else df.agg(F.count(F.lit(1)).alias("count"))
-    return counts.agg(F.max("count")).first()[0] or 0
-
-
 class OrderedGroups:
     """Rows of ``df`` grouped by ``keys`` and totally ordered by ``order``.
 
@@ -37,30 +28,17 @@ class OrderedGroups:
     ``frame()`` gives the result.
     """
 
-    def __init__(
-        self,
-        df: DataFrame,
-        keys: Sequence[str],
-        order: Sequence[str],
-        max_group_rows: int = MAX_GROUP_ROWS,
-        at_most: int | None = None,
-    ):
-        """``at_most`` is an upper bound of the largest group, if one is known already."""
+    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str]):
         self.keys, self.order = list(keys), list(order)
-        self.split = (at_most is None or at_most > max_group_rows) and largest_group(df, self.keys) > max_group_rows
-        if self.split:
-            # an explicit partition number keeps AQE from merging the ranges
-            parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            ranged = df.repartitionByRange(parts, *self.keys, *self.order)
-            self._df = settle(ranged.withColumn(_PIECE, F.spark_partition_id()))
-        else:
-            self._df = df
+        # ranges are sampled, so they are fixed by a checkpoint; AQE merges small ones
+        ranged = df.repartitionByRange(*self.keys, *self.order)
+        self._df = settle(ranged.withColumn(_PIECE, F.spark_partition_id()))
 
     def frame(self) -> DataFrame:
         return self._df.drop(_PIECE)
 
     def _window(self, descending: bool = False):
-        part = self.keys + ([_PIECE] if self.split else [])
+        part = [*self.keys, _PIECE]
         order = [F.col(c).desc() if descending else F.col(c).asc() for c in self.order]
         return Window.partitionBy(*part).orderBy(*order)
 
@@ -85,9 +63,6 @@ class OrderedGroups:
 
     def previous(self, name: str, col: Column) -> "OrderedGroups":
         """Value of ``col`` on the row before; NULL on a group's first row."""
-        if not self.split:
-            self._df = self._df.withColumn(name, F.lag(col).over(self._window()))
-            return self
         self._join(self._carry(self._last(col), lambda own, w: F.lag(own).over(w), "_before"))
         window = self._window()
         self._df = self._df.withColumn(
@@ -99,9 +74,6 @@ class OrderedGroups:
     def running_sum(self, name: str, col: Column) -> "OrderedGroups":
         """Sum of ``col`` from the group's first row up to this one."""
         local = F.sum(col).over(self._window().rowsBetween(Window.unboundedPreceding, 0))
-        if not self.split:
-            self._df = self._df.withColumn(name, local)
-            return self
         total = lambda own, w: F.sum(own).over(w.rowsBetween(Window.unboundedPreceding, -1))
         self._join(self._carry(F.sum(col), total, "_before"))
         both_null = F.col(name).isNull() & F.col("_before").isNull()
@@ -119,9 +91,6 @@ class OrderedGroups:
         """Largest ``col`` over the rows strictly before this one."""
         before = (Window.unboundedPreceding, -1)
         local = F.max(col).over(self._window().rowsBetween(*before))
-        if not self.split:
-            self._df = self._df.withColumn(name, local)
-            return self
         self._join(self._carry(F.max(col), lambda own, w: F.max(own).over(w.rowsBetween(*before)), "_before"))
         self._df = self._df.withColumn(name, local).withColumn(
             name, F.greatest(F.col(name), F.col("_before"))
@@ -132,9 +101,6 @@ class OrderedGroups:
         """Last non-null ``col`` up to this row, or the first from it on if ``after``."""
         upto = (Window.unboundedPreceding, 0)
         local = F.last(col, ignorenulls=True).over(self._window(after).rowsBetween(*upto))
-        if not self.split:
-            self._df = self._df.withColumn(name, local)
-            return self
         pick = F.min_by if after else F.max_by
         # rows without a value get a NULL order, which min_by / max_by skip
         known = pick(col, F.when(col.isNotNull(), F.struct(*self.order)))

@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grainfold.operators.ordered import MAX_GROUP_ROWS, OrderedGroups
+from grainfold.operators.ordered import OrderedGroups
 from grainfold.session import stored
 
 
@@ -33,7 +33,6 @@ def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFram
 
 def quantiles(
     df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Exact quantiles per group with linear interpolation: one row per group, columns q25, q50, ...
 
@@ -42,16 +41,15 @@ def quantiles(
     """
     keys = list(keys)
     known = df.where(F.col(value).isNotNull())
-    totals = stored(known.groupBy(*keys).agg(F.count(F.lit(1)).alias("_total")))
-    largest = totals.agg(F.max("_total")).first()[0] or 0
     counts = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    cum = OrderedGroups(counts, keys, [value], max_group_rows, at_most=largest)
-    cum = cum.running_sum("_cum", F.col("_n")).frame()
+    cum = OrderedGroups(counts, keys, [value]).running_sum("_cum", F.col("_n")).frame()
+    totals = cum.groupBy(*keys).agg(F.max("_cum").alias("_total"))
     if keys:
-        on = [cum[k].eqNullSafe(totals[k]) for k in keys]
-        cum = cum.join(totals, on, "left").select(*[cum[k] for k in keys], value, "_n", "_cum", "_total")
+        totals = totals.select(*[F.col(k).alias(f"_t{i}") for i, k in enumerate(keys)], "_total")
+        on = [F.col(k).eqNullSafe(F.col(f"_t{i}")) for i, k in enumerate(keys)]
+        cum = cum.join(totals, on, "left").select(*keys, value, "_n", "_cum", "_total")
     else:
-        cum = cum.withColumn("_total", F.lit(largest))
+        cum = cum.withColumn("_total", totals.scalar())
     first = F.col("_cum") - F.col("_n")  # 0-based rank of the value's first copy
     aggs = []
     for p in probs:
@@ -64,7 +62,7 @@ def quantiles(
     return cum.groupBy(*keys).agg(*aggs)
 
 
-def describe(df: DataFrame, columns: Sequence[str], max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample deviation, min, quartiles and max of numeric columns."""
     long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
         [], list(columns), "column", "value"
@@ -73,7 +71,7 @@ def describe(df: DataFrame, columns: Sequence[str], max_group_rows: int = MAX_GR
         F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"),
     )
-    return base.join(quantiles(long, ["column"], "value", [0.25, 0.5, 0.75], max_group_rows), "column", "left")
+    return base.join(quantiles(long, ["column"], "value", [0.25, 0.5, 0.75]), "column", "left")
 
 
 def profile_by_factor(df: DataFrame, factors: Sequence[str], values: Sequence[str]) -> DataFrame:

@@ -9,26 +9,26 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grainfold.operators.ordered import MAX_GROUP_ROWS, OrderedGroups, largest_group
+from grainfold.operators.ordered import OrderedGroups
 
 JUMP_LOOK_AHEAD = 4
 
 
 def first_diff(
     df: DataFrame, value: str, keys: Sequence[str], order: Sequence[str],
-    name: str = "diff", max_group_rows: int = MAX_GROUP_ROWS,
+    name: str = "diff"
 ) -> DataFrame:
     """``value`` minus the value on the row before it in its series."""
-    rows = OrderedGroups(df, keys, order, max_group_rows).previous("_prev", F.col(value)).frame()
+    rows = OrderedGroups(df, keys, order).previous("_prev", F.col(value)).frame()
     return rows.withColumn(name, F.col(value) - F.col("_prev")).drop("_prev")
 
 
 def gap_sessions(
     df: DataFrame, at: Column, gap: float, keys: Sequence[str], order: Sequence[str],
-    name: str = "session", max_group_rows: int = MAX_GROUP_ROWS,
+    name: str = "session"
 ) -> DataFrame:
     """Number the runs of rows whose ``at`` stays within ``gap`` of the row before (from 0)."""
-    rows = OrderedGroups(df.withColumn("_at", at), keys, order, max_group_rows)
+    rows = OrderedGroups(df.withColumn("_at", at), keys, order)
     rows.previous("_prev", F.col("_at"))
     jump = F.when(F.abs(F.col("_at") - F.col("_prev")) > gap, 1).otherwise(0).cast("long")
     return rows.running_sum(name, jump).frame().drop("_at", "_prev")
@@ -50,13 +50,13 @@ def session_concat(
 
 def interpolate_linear(
     df: DataFrame, value: str, keys: Sequence[str], order: Sequence[str],
-    name: str = "filled", max_group_rows: int = MAX_GROUP_ROWS,
+    name: str = "filled"
 ) -> DataFrame:
     """Fill inner gaps on the straight line, by row position, between the known neighbours.
 
     Gaps at either end of a series stay NULL.
     """
-    rows = OrderedGroups(df, keys, order, max_group_rows).position("_pos")
+    rows = OrderedGroups(df, keys, order).position("_pos")
     known = F.when(F.col(value).isNotNull(), F.struct(F.col("_pos").alias("p"), F.col(value).alias("v")))
     rows.nearest_known("_lo", known).nearest_known("_hi", known, after=True)
     share = (F.col("_pos") - F.col("_lo.p")) / F.nullif(F.col("_hi.p") - F.col("_lo.p"), F.lit(0))
@@ -65,7 +65,7 @@ def interpolate_linear(
 
 
 def merge_intervals(
-    df: DataFrame, start: str, end: str, keys: Sequence[str], max_group_rows: int = MAX_GROUP_ROWS,
+    df: DataFrame, start: str, end: str, keys: Sequence[str]
 ) -> DataFrame:
     """Union of overlapping or touching intervals per key.
 
@@ -73,7 +73,7 @@ def merge_intervals(
     shortens the one around it.
     """
     spans = df.groupBy(*keys, start).agg(F.max(end).alias(end))
-    rows = OrderedGroups(spans, keys, [start], max_group_rows, at_most=largest_group(df, keys)).max_before("_reach", F.col(end))
+    rows = OrderedGroups(spans, keys, [start]).max_before("_reach", F.col(end))
     fresh = F.when(F.col(start) > F.col("_reach"), 1).otherwise(0).cast("long")
     islands = rows.running_sum("_island", fresh).frame()
     return islands.groupBy(*keys, "_island").agg(
@@ -96,7 +96,7 @@ def _explode_range(df: DataFrame, name: str, low: Column, high: Column, block: i
 
 def label_frames(
     spans: DataFrame, segments: DataFrame, width: float, key: str,
-    start: str = "start", end: str = "end", max_group_rows: int = MAX_GROUP_ROWS,
+    start: str = "start", end: str = "end"
 ) -> DataFrame:
     """Label the fixed frames of every file: 1 if segments cover more than half of a frame.
 
@@ -109,7 +109,7 @@ def label_frames(
         spans, "frame",
         F.floor(F.col(start) / width), F.ceil(F.col(end) / width) - 1,
     ).select(key, "frame")
-    merged = merge_intervals(segments, start, end, [key], max_group_rows)
+    merged = merge_intervals(segments, start, end, [key])
     touched = _explode_range(
         merged, "frame", F.floor(F.col(start) / width), F.ceil(F.col(end) / width) - 1
     )
@@ -173,7 +173,7 @@ _MOVES = "array<struct<entry: int, waiting: boolean, leave: int, still: boolean,
 
 def bounded_jump_score(
     df: DataFrame, value: str, keys: Sequence[str], order: Sequence[str],
-    name: str = "score", chunk: int = 10_000, max_group_rows: int = MAX_GROUP_ROWS,
+    name: str = "score", chunk: int = 10_000
 ) -> DataFrame:
     """Total collected by the greedy jump scan over each ordered series.
 
@@ -188,7 +188,7 @@ def bounded_jump_score(
     and then chained: a chunk of any length becomes ten moves.
     """
     keys = list(keys)
-    rows = OrderedGroups(df, keys, order, max_group_rows).position("_pos").frame()
+    rows = OrderedGroups(df, keys, order).position("_pos").frame()
     rows = rows.select(*keys, (F.col("_pos") - 1).alias("_pos"), F.col(value).cast("double").alias("_v"))
     sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
 

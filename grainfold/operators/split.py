@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from grainfold.functions.numeric import md5_bucket
-from grainfold.operators.ordered import MAX_GROUP_ROWS, OrderedGroups
+from grainfold.operators.ordered import OrderedGroups
 
 
 def split_name(key: Column, shares: Mapping[str, int]) -> Column:
@@ -61,10 +61,9 @@ def class_shortfall(df: DataFrame, label: str, minimum: int) -> DataFrame:
 
 def surrogate_id(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], prefix: str, name: str = "row_id",
-    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Ids ``<prefix>0, <prefix>1, ...`` in order inside each group; without keys over the whole table."""
-    rows = OrderedGroups(df, keys, order, max_group_rows).position("_pos").frame()
+    rows = OrderedGroups(df, keys, order).position("_pos").frame()
     return rows.withColumn(name, F.concat(F.lit(prefix), (F.col("_pos") - 1).cast("string"))).drop("_pos")
 
 

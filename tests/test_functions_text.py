@@ -123,14 +123,12 @@ def test_tfidf_by_hand(docs):
     assert got[4, "red"] == pytest.approx(1.0)
 
 
-def test_token_numbers_both_ways(docs, monkeypatch):
+def test_token_numbers(docs):
     index = terms.vocabulary_index(terms.term_totals(docs, "text"), min_count=2)
     assert index.exceptAll(terms.vocabulary_index(terms.term_counts(docs, "id", "text"), min_count=2)).count() == 0
     assert {r.term: r.idx for r in index.collect()} == {"red": 1, "blue": 2}
     want = {1: [1, 1, 2], 2: [2, 0], 3: [], 4: [1]}
     assert {r.id: r.ids for r in terms.token_index(docs, "id", "text", index).collect()} == want
-    monkeypatch.setattr(terms, "BROADCAST_TERMS", 1)
-    assert {r.id: r.ids for r in terms.token_index(docs, "id", "text", index).collect()} == want
 
 
 def test_stop_words(spark, docs):

@@ -205,7 +205,7 @@ def test_paragraphs(spark):
     texts_ = paragraphs.paragraphs(tokens, known)
     assert texts_.count() == 24
     assert {r.text for r in texts_.collect()} == {"le statut de la société anonyme"}
-    assert paragraphs.paragraphs(tokens, known, max_group_rows=10).exceptAll(texts_).count() == 0
+    assert paragraphs.paragraphs(tokens, known).exceptAll(texts_).count() == 0
     rows = texts_.withColumn("id", F.concat("file", "paragraph")).cache()
     varied = rows.withColumn("text", F.concat("text", F.when(F.col("paragraph") % 2 == 0, F.lit(" capital actions parts")).otherwise(F.lit(" gérant assemblée vote"))))
     assert paragraphs.topics(varied, "id", k=2, words=3, min_df=2).count() == 6
