@@ -11,7 +11,7 @@ from grainfold.operators import signals
 
 def spectrum(curve: DataFrame, index: str, value: str, max_bin: int) -> tuple[DataFrame, DataFrame]:
     """Fourier bins of the curve and the strongest of them."""
-    bins = signals.periodogram(curve, index, value, max_bin)
+    bins = signals.periodogram(curve, index, value, max_bin=max_bin)
     return bins, signals.dominant_bin(bins)
 
 

@@ -14,9 +14,11 @@ def rate_lookup(df: DataFrame, rates: DataFrame, key: str, name: str = "rate") -
     """Find each row's rate in a one-row table whose columns are the keys.
 
     The wide row has as many rates as columns, so its long form is small by
-    construction and is broadcast. Rows with an unknown key go.
+    construction and is broadcast. Rows with an unknown key go; more than one row of rates is an error.
     """
-    long = rates.limit(1).unpivot([], rates.columns, key, name).where(F.col(name).isNotNull())
+    if len(rates.take(2)) > 1:
+        raise ValueError("rates must have one row: choose one by its date first")
+    long = rates.unpivot([], rates.columns, key, name).where(F.col(name).isNotNull())
     return df.join(F.broadcast(long), key)
 
 

@@ -14,28 +14,30 @@ from grainfold.operators.clean import attach
 from grainfold.operators.sequence import halo_blocks
 
 
-def periodogram(series: DataFrame, index: str, value: str, max_bin: int, keys: Sequence[str] = ()) -> DataFrame:
-    """Fourier coefficients re, im and magnitude of bins 0..max_bin per series.
+def periodogram(series: DataFrame, index: str, value: str, keys: Sequence[str] = (), max_bin: int | None = None) -> DataFrame:
+    """Fourier coefficients re, im and magnitude per series, of bins 1 up to half its length (or ``max_bin``).
 
-    Each sample adds to every bin; the sums are combined on the map side, so only
-    ``max_bin + 1`` rows per task and series are shuffled. O(samples * bins).
+    A series lies on a whole-number grid that begins at its first index; its mean is taken off, so that gaps count as
+    the mean. Each sample adds to every bin; the sums are combined on the map side, so only one row per bin, task and
+    series is shuffled. O(samples * bins).
     """
-    sizes = series.groupBy(*keys).agg(F.count(value).alias("_n"))
+    keys = list(keys)
+    grid = series.groupBy(*keys).agg(F.min(index).alias("_at"), (F.max(index) - F.min(index) + 1).cast("bigint").alias("_n"), F.avg(value).alias("_mean"))
     if keys:
-        rows = attach(series, sizes, keys)
+        rows = attach(series, grid, keys)
     else:
-        rows = series.withColumn("_n", sizes.select("_n").scalar())
-    angle = 2 * math.pi * F.pmod(F.col("k") * F.col(index), F.col("_n")) / F.col("_n")
-    terms = rows.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(max_bin)).cast("array<bigint>")))
-    sums = terms.groupBy(*keys, "k").agg(
-        F.sum(F.col(value) * F.cos(angle)).alias("re"), F.sum(-F.col(value) * F.sin(angle)).alias("im")
-    )
+        rows = series.withColumns({c: grid.select(c).scalar() for c in ("_at", "_n", "_mean")})
+    last = F.floor(F.col("_n") / 2) if max_bin is None else F.least(F.floor(F.col("_n") / 2), F.lit(max_bin))
+    angle = 2 * math.pi * F.pmod(F.col("k") * (F.col(index) - F.col("_at")), F.col("_n")) / F.col("_n")
+    terms = rows.where(last >= 1).withColumn("k", F.explode(F.sequence(F.lit(1).cast("bigint"), last.cast("bigint"))))
+    off = F.col(value) - F.col("_mean")
+    sums = terms.groupBy(*keys, "k").agg(F.sum(off * F.cos(angle)).alias("re"), F.sum(-off * F.sin(angle)).alias("im"))
     return sums.withColumn("magnitude", F.sqrt(F.col("re") * F.col("re") + F.col("im") * F.col("im")))
 
 
 def dominant_bin(spectrum: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Bin of the largest magnitude, the mean (bin 0) left out; of equals the lowest."""
-    return spectrum.where("k > 0").groupBy(*keys).agg(
+    """Bin of the largest magnitude; of equals the lowest."""
+    return spectrum.groupBy(*keys).agg(
         F.max_by("k", F.struct("magnitude", -F.col("k"))).alias("k"), F.max("magnitude").alias("magnitude")
     )
 
@@ -196,9 +198,17 @@ def cwt_ricker(
     ).withColumnsRenamed({"_key": key, "_i": index})
 
 
-def add_noise(df: DataFrame, value: str, rate: float, seed: int) -> DataFrame:
-    """Add Gaussian noise of power 0.5 * rate / 2."""
-    return df.withColumn(value, F.col(value) + F.randn(seed) * math.sqrt(0.5 * rate / 2))
+def _uniform(key: Column, salt: str) -> Column:
+    """Number above 0 and up to 1 from 52 bits of the MD5 of a key's text."""
+    digits = F.substring(F.md5(F.concat_ws("|", F.lit(salt), key.cast("string")).cast("binary")), 1, 13)
+    return (F.conv(digits, 16, 10).cast("double") + 1) / float(1 << 52)
+
+
+def add_noise(df: DataFrame, value: str, rate: float, seed: int, key: str) -> DataFrame:
+    """Add Gaussian noise of power 0.5 * rate / 2 that depends on the row's key and the seed alone."""
+    first, second = _uniform(F.col(key), f"{seed}a"), _uniform(F.col(key), f"{seed}b")
+    normal = F.sqrt(-2 * F.ln(first)) * F.cos(2 * math.pi * second)
+    return df.withColumn(value, F.col(value) + normal * math.sqrt(0.5 * rate / 2))
 
 
 def cut_frames(samples: DataFrame, key: str, index: str, value: str, width: int) -> DataFrame:

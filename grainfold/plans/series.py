@@ -68,27 +68,25 @@ def ar_fit_daily_lags(spark, sf):
     return ts.ar_fit(_hourly(spark, sf), "idx", "mean", 24)
 
 
-_BINS = 60
-
-
-@query(f"""WITH h AS {_HOURLY} SELECT k, round(sum(mean * cos(2 * pi() * ((k * idx) % n) / n)), 4) AS re,
-  round(sum(-mean * sin(2 * pi() * ((k * idx) % n) / n)), 4) AS im,
-  round(sqrt(sum(mean * cos(2 * pi() * ((k * idx) % n) / n)) ** 2 + sum(mean * sin(2 * pi() * ((k * idx) % n) / n)) ** 2), 4) AS magnitude
-FROM h, (SELECT count(*) AS n FROM h), range(0, {_BINS} + 1) t(k) GROUP BY k""")
+@query(f"""WITH h AS {_HOURLY}, g AS (SELECT idx - min(idx) OVER () AS i, max(idx) OVER () - min(idx) OVER () + 1 AS n, mean - avg(mean) OVER () AS x FROM h),
+  s AS (SELECT k, sum(x * cos(2 * pi() * ((k * i) % n) / n)) AS re, sum(-x * sin(2 * pi() * ((k * i) % n) / n)) AS im
+    FROM g, (SELECT unnest(range(1, (SELECT max(n) FROM g) // 2 + 1)) AS k) GROUP BY k)
+SELECT k, round(re, 4) AS re, round(im, 4) AS im, round(sqrt(re ** 2 + im ** 2), 4) AS magnitude FROM s""")
 def periodogram(spark, sf):
-    out = signals.periodogram(_hourly(spark, sf), "idx", "mean", _BINS)
+    out = signals.periodogram(_hourly(spark, sf), "idx", "mean")
     return out.select("k", *[r(c).alias(c) for c in ("re", "im", "magnitude")])
 
 
 @query(f"""WITH h AS (SELECT user_id, datediff('hour', TIMESTAMP '2024-01-01', ts) AS idx, avg(value) AS mean FROM events GROUP BY 1, 2),
-  s AS (SELECT user_id, k, sqrt(sum(mean * cos(2 * pi() * ((k * idx) % n) / n)) ** 2 + sum(mean * sin(2 * pi() * ((k * idx) % n) / n)) ** 2) AS m
-    FROM h JOIN (SELECT user_id, count(*) AS n FROM h GROUP BY 1) USING (user_id), range(1, 11) t(k) GROUP BY user_id, k)
-SELECT user_id, round(max(m), 4) AS magnitude FROM s GROUP BY user_id""")
+  g AS (SELECT user_id, idx - min(idx) OVER w AS i, max(idx) OVER w - min(idx) OVER w + 1 AS n, mean - avg(mean) OVER w AS x FROM h WINDOW w AS (PARTITION BY user_id)),
+  e AS (SELECT *, unnest(range(1, n // 2 + 1)) AS k FROM g),
+  s AS (SELECT user_id, k, sqrt(sum(x * cos(2 * pi() * ((k * i) % n) / n)) ** 2 + sum(x * sin(2 * pi() * ((k * i) % n) / n)) ** 2) AS m FROM e GROUP BY user_id, k)
+SELECT user_id, arg_max(k, m) AS k, round(max(m), 4) AS magnitude FROM s GROUP BY user_id""")
 def dominant_bin(spark, sf):
     hour = F.floor((epoch_seconds(F.col("ts")) - 1704067200) / 3600)
     series = read_table(spark, sf, "events").groupBy("user_id", hour.alias("idx")).agg(F.avg("value").alias("mean"))
-    out = signals.dominant_bin(signals.periodogram(series, "idx", "mean", 10, ["user_id"]), ["user_id"])
-    return out.select("user_id", r("magnitude").alias("magnitude"))
+    out = signals.dominant_bin(signals.periodogram(series, "idx", "mean", ["user_id"]), ["user_id"])
+    return out.select("user_id", "k", r("magnitude").alias("magnitude"))
 
 
 _MORLET = """(cos(7 * x) - exp(-24.5)) * exp(x * x * -0.5) * pow(pi(), -0.25) * 1.6"""
@@ -152,9 +150,13 @@ def cwt_ricker(spark, sf):
     return out.select("event_type", "idx", F.transform("coef", lambda x: F.round(x, 6)).alias("coef"))
 
 
-@query()
+_U = "(CAST(CAST('0x' || substr(md5('1{0}|' || event_id), 1, 13) AS BIGINT) AS DOUBLE) + 1) / 4503599627370496.0"
+
+
+@query(f"""SELECT event_id, round(value + sqrt(-2 * ln({_U.format('a')})) * cos(2 * pi() * {_U.format('b')}) * sqrt(2000.0), 4) AS value FROM events""")
 def add_noise(spark, sf):
-    return signals.add_noise(read_table(spark, sf, "events").select("event_id", "value"), "value", 8000, seed=1)
+    noisy = signals.add_noise(read_table(spark, sf, "events").select("event_id", "value"), "value", 8000, seed=1, key="event_id")
+    return noisy.withColumn("value", r("value"))
 
 
 @query("""SELECT event_type, frame, n, round(total, 4) AS total FROM (SELECT event_type, idx // 12 AS frame, count(*) AS n, sum(v) AS total

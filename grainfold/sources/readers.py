@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 # fixed values: the line that separates texts in a corpus file
 CORPUS_MARK = "<<<<<<<<<<NEW>>>>>>>>>>"
 
+# fixed values: field names of the side files
 SEGMENT_SCHEMA = "speech_segments array<struct<start_time: double, end_time: double>>"
 
 
@@ -17,15 +18,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a few unsplittable files out to all cores, before work heavy on the CPU.
-
-    A scan that already has a task per core, as any large one, is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def scan_csv(
     spark: SparkSession, path: str, schema: str, sep: str = ",", null: str = "", header: bool = True,
     encoding: str = "UTF-8",

@@ -70,13 +70,6 @@ def test_written_layout(spark, tmp_path):
     assert part.read_text() == "id;output\n1;0.25\n"
 
 
-def test_spread(spark, tmp_path):
-    one = spark.range(10).coalesce(1)
-    assert readers.spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(100).repartition(50)
-    assert readers.spread(many) is many
-
-
 def test_images(spark, tmp_path):
     from grainfold.jobs.images import training_images
 
