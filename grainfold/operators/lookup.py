@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grainfold.operators.clean import attach
+from grainfold.session import stored
 
 
 def rate_lookup(df: DataFrame, rates: DataFrame, key: str, name: str = "rate") -> DataFrame:
@@ -74,6 +75,15 @@ def peer_deviation(df: DataFrame, value: str, keys: Sequence[str], name: str = "
 
 
 def mean_peer_deviation(df: DataFrame, value: str, peer: Sequence[str], by: Sequence[str], name: str) -> DataFrame:
-    """Mean deviation from the peer-group mean per ``by`` group, with the row count."""
-    rows = peer_deviation(df.dropna(subset=list(peer)), value, peer, "_gap")
-    return rows.groupBy(*by).agg(F.avg("_gap").alias(name), F.count(F.lit(1)).alias("n"))
+    """Mean deviation from the peer-group mean per ``by`` group, with the row count.
+
+    Rows are read once: sums and counts per peer group and ``by`` group give both the means and the deviations.
+    """
+    cells = stored(
+        df.dropna(subset=list(peer))
+        .groupBy(*dict.fromkeys([*peer, *by]))
+        .agg(F.sum(value).alias("_sum"), F.count(value).alias("_known"), F.count(F.lit(1)).alias("_rows"))
+    )
+    means = cells.groupBy(*peer).agg((F.sum("_sum") / F.sum("_known")).alias("_peer"))
+    off = F.sum(F.col("_sum") - F.col("_known") * F.col("_peer"))
+    return attach(cells, means, peer).groupBy(*by).agg(F.try_divide(off, F.sum("_known")).alias(name), F.sum("_rows").alias("n"))
