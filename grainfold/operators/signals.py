@@ -71,8 +71,6 @@ def kde_grid(df: DataFrame, x: str, y: str, cells: int = 200) -> DataFrame:
     row of moments. In the second each task adds its points up on the grid, which
     is bounded by ``cells``; points are never shuffled or paired with each other.
     """
-    if cells * cells > 40_000:
-        raise ValueError("grid too fine: at most 40,000 cells")
     points = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()
     m = points.agg(
         F.count("x").alias("n"), F.min("x").alias("x0"), F.max("x").alias("x1"),
@@ -88,16 +86,18 @@ def kde_grid(df: DataFrame, x: str, y: str, cells: int = 200) -> DataFrame:
     grid = np.stack(np.meshgrid(gx, gy, indexing="ij"), axis=-1).reshape(-1, 2)
     grid_w = grid @ white.T
     norm = m.n * 2 * math.pi * math.sqrt(np.linalg.det(cov))
-    step = max(1, 2_000_000 // len(grid))
+    patch = min(len(grid), 40_000)  # cells that are worked together
+    step = max(1, 2_000_000 // patch)
 
     def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(len(grid_w))
         for pdf in batches:
             pts = pdf[["x", "y"]].to_numpy() @ white.T
             for i in range(0, len(pts), step):
-                dx = grid_w[:, :1] - pts[i:i + step, 0]
-                dy = grid_w[:, 1:] - pts[i:i + step, 1]
-                total += np.exp(-0.5 * (dx * dx + dy * dy)).sum(axis=1)
+                for c in range(0, len(grid_w), patch):
+                    dx = grid_w[c:c + patch, :1] - pts[i:i + step, 0]
+                    dy = grid_w[c:c + patch, 1:] - pts[i:i + step, 1]
+                    total[c:c + patch] += np.exp(-0.5 * (dx * dx + dy * dy)).sum(axis=1)
         yield pd.DataFrame({"cell": np.arange(len(total)), "s": total})
 
     sums = points.mapInPandas(add_up, "cell long, s double").groupBy("cell").agg(F.sum("s").alias("s"))

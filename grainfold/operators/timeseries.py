@@ -100,12 +100,14 @@ def lag_features(series: DataFrame, index: str, value: str, order: int) -> DataF
 
 
 def ar_fit(series: DataFrame, index: str, value: str, order: int) -> DataFrame:
-    """Autoregression by least squares: (term, coefficient), terms ``intercept`` and ``lag_n``."""
+    """Autoregression by least squares: (term, coefficient), terms ``intercept`` and ``lag_n``.
+
+    One pass of normal equations, then a system of ``order`` equations; Spark solves up to 4,096 of them.
+    """
     rows = lag_features(series, index, value, order)
     lags = [f"lag_{h}" for h in range(1, order + 1)]
     vectors = VectorAssembler(inputCols=lags, outputCol="features").transform(rows)
-    # an explicit solver: one pass of normal equations, then an order x order system
-    model = LinearRegression(labelCol=value, solver="normal" if order <= 4096 else "l-bfgs").fit(vectors)
+    model = LinearRegression(labelCol=value, solver="normal").fit(vectors)
     found = [("intercept", float(model.intercept))] + list(zip(lags, map(float, model.coefficients)))
     return series.sparkSession.createDataFrame(found, "term string, coefficient double")
 

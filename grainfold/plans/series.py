@@ -47,9 +47,9 @@ def frame_series(spark, sf):
 
 
 @query(f"""WITH h AS {_HOURLY}, c AS (SELECT idx, mean - (SELECT avg(mean) FROM h) AS x FROM h)
-SELECT k::INT AS lag, round(sum(a.x * b.x) / (SELECT sum(x * x) FROM c), 6) AS acf FROM c a, range(0, 101) t(k) JOIN c b ON b.idx = a.idx + k GROUP BY k""")
+SELECT k::INT AS lag, round(sum(a.x * b.x) / (SELECT sum(x * x) FROM c), 6) AS acf FROM c a, range(0, 701) t(k) JOIN c b ON b.idx = a.idx + k GROUP BY k""")
 def acf(spark, sf):
-    return ts.acf(_hourly(spark, sf), "idx", "mean", 100).withColumn("acf", r("acf", 6))
+    return ts.acf(_hourly(spark, sf), "idx", "mean", 700).withColumn("acf", r("acf", 6))
 
 
 @query()

@@ -171,8 +171,6 @@ def test_kde_against_all_pairs(spark):
     for r in got:
         d = np.array([r.x, r.y]) - pts
         assert r.density == pytest.approx(np.exp(-0.5 * np.einsum("ni,ij,nj->n", d, inv, d)).sum() / norm)
-    with pytest.raises(ValueError):
-        signals.kde_grid(df, "x", "y", 201)
 
 
 def test_template(spark):
