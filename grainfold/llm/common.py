@@ -30,6 +30,11 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), BLANKS), lambda w: w != "")
 
 
+def split_words(text: Column) -> Column:
+    """Words of a text that has at least one; otherwise one empty string."""
+    return F.split(F.trim(text, F.lit(" \t\n\x0b\x0c\r")), BLANKS)
+
+
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)``, with ``value`` worked out once per row, also where ``use`` has it inside a lambda."""
     return F.element_at(F.transform(F.array(value), use), 1)
