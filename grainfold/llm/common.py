@@ -31,8 +31,8 @@ def words(text: Column) -> Column:
 
 
 def split_words(text: Column) -> Column:
-    """Words of a text that has at least one; otherwise one empty string."""
-    return F.split(F.trim(text, F.lit(" \t\n\x0b\x0c\r")), BLANKS)
+    """Words of a text, with empty strings where blanks follow each other or end it. Plain spaces are cut without a pattern."""
+    return F.when(text.rlike(r"[\x09-\x0D]"), F.split(text, BLANKS)).otherwise(F.split(text, " "))
 
 
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -163,7 +163,7 @@ def arrow_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return (b for b in batches if b.num_rows)
 
 
-def settled_broadcast(df: DataFrame, row_bytes: int, most_bytes: int = 32 << 20) -> DataFrame:
+def settled_broadcast(df: DataFrame, row_bytes: int, most_bytes: int = 16 << 20) -> DataFrame:
     """``df`` (a stored table) marked for broadcast if its rows, counted here, stay below ``most_bytes``.
 
     Beyond that it is returned as it is, and Spark shuffles the join.
