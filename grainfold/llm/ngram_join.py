@@ -22,8 +22,8 @@ from grainfold.llm.common import WordHasher, bounded_batches, mix64, packed, row
 from grainfold.llm.groups import components
 from grainfold.session import stored
 
-#: Coordinates of the points that are compared.
-GROUPS = 64
+#: Coordinates of the points that are compared, and finer ones of which only the parity of the count is kept.
+GROUPS, PARITIES = 64, 256
 
 
 def size_bounds(most: int = 1 << 40) -> np.ndarray:
@@ -69,6 +69,13 @@ class Points:
         flat = owner * GROUPS + (mix64(value + np.uint64(17)) % np.uint64(GROUPS)).astype(np.int64)
         return np.bincount(flat, minlength=(len(starts) - 1) * GROUPS).reshape(-1, GROUPS)
 
+    def parities(self, value: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Parities of finer group counts as four 64-bit columns."""
+        owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+        flat = owner * PARITIES + (mix64(value + np.uint64(29)) % np.uint64(PARITIES)).astype(np.int64)
+        odd = (np.bincount(flat, minlength=(len(starts) - 1) * PARITIES) & 1).astype(np.uint8).reshape(-1, PARITIES)
+        return np.packbits(odd, axis=1).view(np.int64)
+
     def pages(self, value: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(page, text number) for every block of every text, in its size class and, near the upper end, the next.
 
@@ -125,14 +132,30 @@ def _minima(a: str, b: str) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
 
 
+PARITY = [f"p{i}" for i in range(PARITIES // 64)]
+
+
+def _near(similar: Fraction) -> Column:
+    """What two similar sets fulfil: sizes, and no more odd group counts than shingles in one set only."""
+    odd = sum((F.bit_count(F.col(p).bitwiseXOR(F.col(f"{p}_2"))) for p in PARITY[1:]), F.bit_count(F.col("p0").bitwiseXOR(F.col("p0_2"))))
+    return _alike(F.col("n"), F.col("n_2"), similar) & (odd <= F.col("n") + F.col("n_2") - 2 * _need(F.col("n"), F.col("n_2"), similar))
+
+
+def _second(rows: DataFrame, *shared: str) -> DataFrame:
+    """``rows`` with ``_2`` behind all names but the shared ones."""
+    return rows.select(*[F.col(c) if c in shared else F.col(c).alias(f"{c}_2") for c in rows.columns])
+
+
 class _Join:
-    """One run of the join over the texts of ``docs`` (columns ``key``, ``text``, ``_id``, ``_tx``)."""
+    """One run of the join over the texts of ``rows`` (columns ``key``, ``text``, ``_id``, ``_tx``)."""
 
     def __init__(self, rows: DataFrame, width: int, similar: Fraction):
         self.rows, self.similar = rows, similar
         self.points = Points(width, similar)
         bounded_batches(rows.sparkSession)
-        self.members = stored(rows.select("key", "_id", "_tx", "text").mapInArrow(self._members(), f"key {rows.schema['key'].dataType.simpleString()}, _id long, _tx long, n long, node binary, id long"))
+        fields = f"key {rows.schema['key'].dataType.simpleString()}, _id long, _tx long, n long, node binary, id long, point array<int>, {', '.join(f'{p} long' for p in PARITY)}"
+        self.members = stored(rows.select("key", "_id", "_tx", "text").mapInArrow(self._members(), fields))
+        self.marks = self.members.where("n > 0").select("id", "n", *PARITY)
 
     def _members(self):
         points = self.points
@@ -141,7 +164,13 @@ class _Join:
             for batch in batches:
                 value, starts = points.sets(batch.column(3))
                 identity = points.identity(value, starts)
-                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(np.diff(starts)), _id_bytes(identity), _longs(identity[:, 0].copy())], ["key", "_id", "_tx", "n", "node", "id"])
+                point = points.points(value, starts)
+                parity = points.parities(value, starts)
+                each = pa.ListArray.from_arrays(pa.array(np.arange(len(point) + 1, dtype=np.int32) * GROUPS), pa.array(point.ravel().astype(np.int32)))
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns[:3], pa.array(np.diff(starts)), _id_bytes(identity), _longs(identity[:, 0].copy()), each, *[pa.array(parity[:, i].copy()) for i in range(len(PARITY))]],
+                    ["key", "_id", "_tx", "n", "node", "id", "point", *PARITY],
+                )
 
         return run
 
@@ -159,73 +188,84 @@ class _Join:
 
         return self.rows.select("text").where("text IS NOT NULL").mapInArrow(run, "page long, id long")
 
-    def sets_of(self, ids: DataFrame) -> DataFrame:
-        """Stored ``node``, ``id``, ``n``, ``point`` and ``shingles`` of the sets with these ids, one text each."""
+    def sets_of(self, pairs: DataFrame) -> DataFrame:
+        """Stored ``node``, ``id`` and ``shingles`` of the sets in these pairs, from one text each."""
         points = self.points
-        chosen = self.members.join(settled_broadcast(stored(ids), 16), "id").groupBy("node").agg(F.min(F.struct("_id", "_tx")).alias("t")).select("t.*")
+        ids = stored(pairs.select("id").union(pairs.select("id_2")).distinct())
+        chosen = self.members.select("id", "node", "_id", "_tx").join(settled_broadcast(ids, 16), "id").groupBy("node").agg(F.min(F.struct("_id", "_tx")).alias("t")).select("t.*")
         texts = self.rows.join(settled_broadcast(stored(chosen), 32), ["_id", "_tx"]).select("text")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 value, starts = points.sets(batch.column(0))
                 identity = points.identity(value, starts)
-                point = points.points(value, starts)
-                each = pa.ListArray.from_arrays(pa.array(np.arange(len(point) + 1, dtype=np.int32) * GROUPS), pa.array(point.ravel().astype(np.int32)))
                 shingles = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), _longs(value))
-                yield pa.RecordBatch.from_arrays([_id_bytes(identity), _longs(identity[:, 0].copy()), pa.array(np.diff(starts).astype(np.int32)), each, shingles], ["node", "id", "n", "point", "shingles"])
+                yield pa.RecordBatch.from_arrays([_id_bytes(identity), _longs(identity[:, 0].copy()), shingles], ["node", "id", "shingles"])
 
-        found = texts.mapInArrow(run, "node binary, id long, n int, point array<int>, shingles array<long>")
-        return stored(found.dropDuplicates(["node"]))
+        return texts.mapInArrow(run, "node binary, id long, shingles array<long>").dropDuplicates(["node"])
 
     def links(self) -> DataFrame:
-        """Verified links (``a``, ``b``: nodes) that connect all similar sets; not all links of a group are among them."""
-        met = self._pages().groupBy("page").agg(F.min("id").alias("hub"), F.max("id").alias("far"))
-        shared = stored(met.where("hub <> far").select("page", "hub"))
-        inside = stored(self._pages().join(settled_broadcast(shared, 24), "page").groupBy("page", "hub", "id").count().drop("count"))
-        stars = stored(inside.where("id <> hub").select("id", F.col("hub").alias("id2")).distinct())
-        sets = self.sets_of(stars.select("id").union(stars.select("id2")).distinct())
-        linked = stored(self.verified(stars, sets))
+        """Verified links (``a``, ``b``: nodes) that connect all similar sets; not all links of a group are among them.
+
+        Each page has a hub, the member that shares most pages with others: of many variants of a text
+        that is the one nearest to most of them.
+        """
+        met = self._pages().groupBy("page").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
+        shared = stored(met.where("lo <> hi").select("page"))
+        inside = stored(self._pages().join(settled_broadcast(shared, 24), "page").distinct())
+        sizes = inside.groupBy("page").agg(F.count(F.lit(1)).alias("size"))
+        weight = stored(inside.join(sizes, "page").groupBy("id").agg(F.sum("size").alias("weight")))
+        hubs = inside.join(weight, "id").groupBy("page").agg(F.max(F.struct("weight", "id")).alias("h")).select("page", F.col("h.id").alias("hub"))
+        placed = stored(inside.join(hubs, "page").where("id <> hub"))
+        stars = stored(placed.select("id", F.col("hub").alias("id_2")).distinct())
+        linked = stored(self.verified(self._possible(stars)))
 
         # members linked to their page's hub are settled; others meet all members of the page
-        settled = linked.select("id", F.col("id2").alias("hub"))
-        open_ones = stored(inside.where("id <> hub").join(settled, ["id", "hub"], "left_anti").select("page", "id"))
-        pages = open_ones.groupBy("page").agg(F.count(F.lit(1)).alias("open"))
-        others = inside.where("id <> hub").join(pages, "page").select("page", "id")
-        rest = stored(self._between(open_ones, others, sets))
-        more = self.verified(rest, sets)
+        settled = linked.select("id", F.col("id_2").alias("hub"))
+        open_ones = stored(placed.join(settled, ["id", "hub"], "left_anti").select("page", "id"))
+        busy = open_ones.groupBy("page").agg(F.count(F.lit(1)).alias("open"))
+        others = placed.join(busy, "page").select("page", "id")
+        more = self.verified(self._between(open_ones, others))
         return linked.select("a", "b").union(more.select("a", "b"))
 
-    def _between(self, open_ones: DataFrame, others: DataFrame, sets: DataFrame) -> DataFrame:
-        """Pairs of an open member and another one of its page that the leaves' corners leave possible.
+    def _possible(self, pairs: DataFrame) -> DataFrame:
+        """Pairs (``id``, ``id_2``) whose sizes and parities allow similarity."""
+        marks = self.marks.distinct()
+        both = pairs.join(marks, "id").join(_second(marks), "id_2")
+        return both.where(_near(self.similar)).select("id", "id_2").distinct()
+
+    def _between(self, open_ones: DataFrame, others: DataFrame) -> DataFrame:
+        """Pairs of an open member and another one of its page that the leaves' corners and the parities allow.
 
-        A leaf holds the points of a page with the same size step and about the same sums over the two halves of
+        A leaf holds the points of a page with the same size step and about the same sums over the first half of
         the coordinates; its upper corner has the largest value of each coordinate.
         """
         half = F.aggregate(F.slice("point", 1, GROUPS // 2), F.lit(0), lambda s, x: s + x)
         step = F.floor(F.log2(F.col("n").cast("double")) * 8)
         leaf = F.xxhash64(step, F.floor(half / F.greatest(F.lit(4.0), F.sqrt("n"))))
-        placed = others.join(sets.select("id", "n", "point", leaf.alias("leaf")), "id")
-        corners = placed.groupBy("page", "leaf").agg(F.min("n").alias("n"), F.max("n").alias("most"), *[F.max(F.get("point", F.lit(i))).alias(f"c{i}") for i in range(GROUPS)])
+        wanted = others.select("id").distinct()
+        light = stored(self.members.where("n > 0").dropDuplicates(["node"]).join(wanted, "id").select("id", "n", "point", leaf.alias("leaf"), *PARITY))
+        corners = others.join(light.drop(*PARITY), "id").groupBy("page", "leaf").agg(F.min("n").alias("n"), F.max("n").alias("most"), *[F.max(F.get("point", F.lit(i))).alias(f"c{i}") for i in range(GROUPS)])
         corners = stored(corners.select("page", "leaf", "n", "most", F.array(*[f"c{i}" for i in range(GROUPS)]).alias("corner")))
-        second = corners.select("page", F.col("leaf").alias("leaf2"), F.col("n").alias("n2"), F.col("most").alias("most2"), F.col("corner").alias("corner2"))
-        near = corners.join(second, "page").where(
-            (F.least("most", "most2") * self.similar.denominator >= F.greatest("n", "n2") * self.similar.numerator) & (_minima("corner", "corner2") >= _need(F.col("n"), F.col("n2"), self.similar))
+        near = corners.join(_second(corners, "page"), "page").where(
+            (F.least("most", "most_2") * self.similar.denominator >= F.greatest("n", "n_2") * self.similar.numerator) & (_minima("corner", "corner_2") >= _need(F.col("n"), F.col("n_2"), self.similar))
         )
-        where = open_ones.join(sets.select("id", leaf.alias("leaf")), "id").join(near.select("page", "leaf", "leaf2"), ["page", "leaf"])
-        pairs = where.join(placed.select("page", F.col("leaf").alias("leaf2"), F.col("id").alias("id2")), ["page", "leaf2"]).where("id <> id2")
-        return pairs.select(F.least("id", "id2").alias("id"), F.greatest("id", "id2").alias("id2")).distinct()
+        slim = light.drop("point")
+        where = open_ones.join(slim, "id").join(near.select("page", "leaf", "leaf_2"), ["page", "leaf"]).drop("leaf")
+        pairs = where.join(_second(others.join(slim, "id"), "page"), ["page", "leaf_2"]).where((F.col("id") != F.col("id_2")) & _near(self.similar))
+        return pairs.select(F.least("id", "id_2").alias("id"), F.greatest("id", "id_2").alias("id_2")).distinct()
 
-    def verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """Pairs that are similar, as ids and as nodes ``a`` and ``b``: first by points, then by the sets."""
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """Pairs that are similar, as ids and as nodes ``a`` and ``b``: by summed minima of their points, then by the sets."""
         similar = self.similar
-        light = sets.select("id", "n", "point")
-        possible = pairs.join(light, "id").join(light.select(F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("point").alias("point2")), "id2")
-        possible = possible.where(_alike(F.col("n"), F.col("n2"), similar) & (_minima("point", "point2") >= _need(F.col("n"), F.col("n2"), similar)))
-        possible = stored(possible.select("id", "id2").distinct())
-        whole = sets.select("id", F.col("node").alias("a"), "n", "shingles")
-        both = possible.join(whole, "id").join(whole.select(F.col("id").alias("id2"), F.col("a").alias("b"), F.col("n").alias("n2"), F.col("shingles").alias("shingles2")), "id2")
-        overlap = F.size(F.array_intersect("shingles", "shingles2"))
-        return both.where(overlap * similar.denominator >= (F.col("n") + F.col("n2") - overlap) * similar.numerator).select("id", "id2", "a", "b")
+        light = self.members.where("n > 0").select("id", "n", "point").distinct()
+        possible = stored(pairs).join(light, "id").join(_second(light), "id_2")
+        possible = stored(possible.where(_minima("point", "point_2") >= _need(F.col("n"), F.col("n_2"), similar)).select("id", "id_2").distinct())
+        whole = stored(self.sets_of(possible))
+        both = possible.join(whole, "id").join(_second(whole), "id_2")
+        n, n_2 = F.size("shingles"), F.size("shingles_2")
+        overlap = F.size(F.array_intersect("shingles", "shingles_2"))
+        return both.where(overlap * similar.denominator >= (n + n_2 - overlap) * similar.numerator).select("id", "id_2", F.col("node").alias("a"), F.col("node_2").alias("b"))
 
 
 def join_groups(docs: DataFrame, width: int = 4, similar: Fraction = Fraction(85, 100), text: str = "text", key: str = "doc_id") -> DataFrame:
