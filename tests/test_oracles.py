@@ -8,12 +8,12 @@ import pytest
 
 import __spark_entry__ as entry_points
 from conftest import SF
+from grainfold.plans import ORACLES, QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
     "conversations"
 ).split()
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -40,7 +40,8 @@ def _sorted_rows(names, tuples):
 
 
 def test_every_oracle_has_a_query():
-    assert set(ORACLES) <= set(QUERIES)
+    assert set(ORACLES) <= set(QUERIES) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
