@@ -212,7 +212,8 @@ class _Join:
         """
         met = self._pages().groupBy("page").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
         shared = stored(met.where("lo <> hi").select("page"))
-        inside = stored(self._pages().join(settled_broadcast(shared, 24), "page").distinct())
+        # shared pages grow with the input: no broadcast is asked for, so the way is the same at every size
+        inside = stored(self._pages().join(shared, "page").distinct())
         sizes = inside.groupBy("page").agg(F.count(F.lit(1)).alias("size"))
         weight = stored(inside.join(sizes, "page").groupBy("id").agg(F.sum("size").alias("weight")))
         hubs = inside.join(weight, "id").groupBy("page").agg(F.max(F.struct("weight", "id")).alias("h")).select("page", F.col("h.id").alias("hub"))
