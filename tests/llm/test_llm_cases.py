@@ -267,6 +267,86 @@ def test_licence_runs(spark):
     ]
 
 
+APACHE = """#
+# Copyright 2020 A. Body
+#
+# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+"""
+GPL = """/*
+ * Tool is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU %sGeneral Public License as published by
+ * the Free Software Foundation, either version %s of the License, or
+ * (at your option) any later version.
+ *
+ * Tool is distributed in the hope that it will be useful,
+ * but WITHOUT ANY WARRANTY; without even the implied warranty of
+ * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.
+ */"""
+BSD = """Copyright (c) 2020, Some Body Inc.
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+"""
+ENDORSE = """
+3. Neither the name of Some Body Inc. nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+MIT = """Copyright (c) 2020 Some Body
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED.
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+"""
+MPL = """// This Source Code Form is subject to the terms of the Mozilla Public
+// License, v. 2.0. If a copy of the MPL was not distributed with this
+// file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+
+
+def test_wrapped_licence_headers(spark):
+    cases = [
+        (APACHE, ["Apache-2.0"]),
+        (APACHE.replace("\n# you", " you"), ["Apache-2.0"]),
+        (APACHE.replace("\n", "\r\n"), ["Apache-2.0"]),
+        (GPL % ("", 3), ["GPL-or-later"]),
+        (GPL % ("Lesser ", 2.1), ["LGPL-or-later"]),
+        (GPL % ("Affero ", 3), ["AGPL-or-later"]),
+        ("This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License version 2 as\npublished by the Free Software Foundation.", ["GPL-2.0"]),
+        (BSD, ["BSD-2-Clause"]),
+        (BSD + ENDORSE, ["BSD-3-Clause"]),
+        (MIT, ["MIT"]),
+        (ISC, ["ISC"]),
+        (MPL, ["MPL-2.0"]),
+        ("This is free and unencumbered software released into the public\ndomain.", ["Unlicense"]),
+        ("/* SPDX-License-Identifier: (GPL-2.0-only WITH Linux-syscall-note) OR MIT */\nint x;", ["GPL-2.0-only", "MIT"]),
+        ("Code by me\n# SPDX-License-Identifier: Zlib\nimport os", ["Zlib"]),
+        ("Some words\nAll rights\nreserved.\nLicensed under the\nMIT License, and more", ["MIT", "proprietary"]),
+        ("Licensed under the GNU Lesser General Public License,\nversion 2.1.", ["LGPL-2.1"]),
+    ]
+    docs = documents(spark, [(i, t, "en", "a") for i, (t, _) in enumerate(cases)])
+    found = {r.doc_id: r.licences for r in licences.recognise_licences(docs).collect()}
+    assert found == {i: want for i, (_, want) in enumerate(cases)}
+
+
 def test_grams_of_long_texts_are_whole():
     """Pieces of long texts count each gram once."""
     text = "".join(chr(97 + i * i % 26) for i in range(langid.PIECE_CHARS + 1000))
