@@ -12,21 +12,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
+#: Length of an IBAN by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_IBANS = "|".join(rf"(?:{c.replace(' ', '|')})\d{{2}}(?: ?[A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (rf" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") for n, c in IBAN_LENGTHS.items())
+#: What begins another value isn't part of the phone number before it.
+_NEXT = r"(?! (?:\d{4}[ -]\d{4}[ -]\d{4}|\d{13}|\d{4}-\d{2}-\d{2}|\d{3}-\d{2}-\d{4}|\d{1,3}\.\d{1,3}\.\d|\d{2}[./]\d{2}[./]\d|\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}(?!\w)))"
 #: The forms a candidate may have, in the order in which they are tried.
 FORMS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
-    "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
+    "iban": rf"(?<!\w)(?:{_IBANS})(?!\w)|(?<!\w)[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?(?!\w)",
     "iso_date": r"(?<![\w-])\d{4}-\d{2}-\d{2}(?![\w-])",
     "slash_date": r"(?<![\w/])\d{2}/\d{2}/\d{4}(?![\w/])",
     "dot_date": r"(?<![\w.])\d{2}\.\d{2}\.\d{4}(?!\w|\.\d)",
     "ipv4": r"(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\w|\.\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    "phone": r"(?<!\w)(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\w)",
+    "phone": r"(?<!\w)(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\w)"
+    rf"|(?<!\w)\+\d(?:{_NEXT}(?:[ .-]?\(|\)[ .-]?|[ ./-])?\d){{6,14}}(?!\w)|(?<![\w.-])[2-9]\d{{9}}(?![\w-]|\.\d)",
     "card": r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])",
 }
 CANDIDATES = "|".join(FORMS.values())
 #: Dates are permuted within 270 x 270 days from this one on, up to 4 August 2099.
 FIRST_DAY, DAY_RADIX = "1900-01-01", 270
+#: Looks again at what values leave of their candidates, and most tries for a pseudonym that is found in the same place.
+AGAIN, TRIES = 2, 40
 
 
 def _noise(secret: str, form: str, *parts: Column) -> Column:
@@ -167,9 +178,12 @@ def _ipv4(value: Column, secret: str, undo: bool) -> Column:
 
 
 def _phone(value: Column, secret: str, undo: bool) -> Column:
+    """The last ten digits are moved, of longer numbers all but three, of shorter ones with a plus all but one."""
     digits = _digits(value)
-    moved = permute_text(F.substring(digits, F.length(digits) - 9, F.lit(10)), secret, "phone", undo)
-    return _refill(value, F.concat(F.substring(digits, F.lit(1), F.length(digits) - 10), moved))
+    n = F.length(digits)
+    kept = F.when(n > 10, F.least(n - 10, F.lit(3))).when(value.startswith("+"), 1).otherwise(0)
+    moved = permute_text(F.substring(digits, kept + 1, n), secret, "phone", undo)
+    return _refill(value, F.concat(F.substring(digits, F.lit(1), kept), moved))
 
 
 def _email(value: Column, secret: str, undo: bool) -> Column:
@@ -197,6 +211,101 @@ def _kind(value: Column) -> Column:
     )
 
 
+def _spans(value: Column, marks: str) -> Column:
+    """Runs of whole groups of a candidate as structs of ``at`` (characters before) and ``v``, cut at blanks only; ``small`` says whether a group has less than three characters."""
+    groups = F.split(value, marks)
+    n = F.size(groups)
+    starts = F.transform(F.sequence(F.lit(0), n), lambda i: F.aggregate(F.slice(groups, F.lit(1), i), F.lit(0), lambda length, g: length + F.length(g) + 1))
+
+    def run(i: Column, j: Column) -> Column:
+        at, end = F.get(starts, i), F.get(starts, j)
+        cut = ((i == 0) | (F.substring(value, at, F.lit(1)) == " ")) & ((j == n) | (F.substring(value, end, F.lit(1)) == " "))
+        small = F.exists(F.slice(groups, i + 1, j - i), lambda g: F.length(g) < 3)
+        return F.struct(at.alias("at"), F.substring(value, at + 1, end - at - 1).alias("v"), cut.alias("cut"), small.alias("small"))
+
+    every = F.flatten(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.transform(F.sequence(i + 1, n), lambda j: run(i, j))))
+    return F.filter(every, lambda s: s["cut"])
+
+
+def _longest(spans: Column, kind: str) -> Column:
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct((-F.length(s["v"])).alias("n"), s["at"].alias("at"), s["v"].alias("v"))))
+    best = F.get(ordered, F.lit(0))
+    return F.when(best.isNotNull(), F.struct(best["at"].alias("at"), best["v"].alias("v"), F.lit(kind).alias("k")))
+
+
+def _fit(value: Column) -> Column:
+    """The value in a candidate: struct of ``at`` (characters before it), ``v`` and its form ``k``, which is null if there is none.
+
+    That is the whole candidate if it passes its check; else, of cards and of IBANs of countries whose length isn't known, the longest
+    run of its groups that does.
+    """
+    whole = F.struct(F.lit(0).alias("at"), value.alias("v"), _kind(value).alias("k"))
+
+    def right_card(span: Column) -> Column:
+        digits = _digits(span["v"])
+        return ~span["small"] & F.length(digits).between(13, 19) & F.call_function("luhn_check", digits)
+
+    def right_iban(span: Column) -> Column:
+        plain = F.replace(span["v"], F.lit(" "), F.lit(""))
+        return (span["at"] == 0) & span["v"].rlike(f"^(?:{FORMS['iban']})$") & (_mod97(F.concat(F.substring(plain, F.lit(5), F.length(plain)), F.substring(plain, 1, 4))) == 1)
+
+    def if_whole(w: Column) -> Column:
+        known = F.substring(value, 1, 2).isin(*" ".join(IBAN_LENGTHS.values()).split())
+        card = F.when(value.rlike(f"^(?:{FORMS['card']})$"), _longest(F.filter(_spans(value, "[ -]"), right_card), "card"))
+        iban = F.when(value.rlike(f"^(?:{FORMS['iban']})$") & ~known, _longest(F.filter(_spans(value, " "), right_iban), "iban"))
+        return F.when(w["k"].isNotNull(), w).otherwise(F.coalesce(card, iban, w))
+
+    return _let(whole, if_whole)
+
+
+def _let(value: Column, then) -> Column:
+    """``then(value)`` with ``value`` worked out once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _replaced(candidate: Column, fit: Column, secret: str, undo: bool) -> Column:
+    """Pseudonym of the value in a candidate, from the same place of which it is read again.
+
+    A pseudonym that would be read as another form or together with other groups of the candidate is moved on until it isn't (cycle walking,
+    which keeps the bijection).
+    """
+    before = F.substring(candidate, F.lit(1), fit["at"])
+    after = F.substring(candidate, fit["at"] + F.length(fit["v"]) + 1, F.length(candidate))
+
+    whole = (fit["at"] == 0) & (F.length(fit["v"]) == F.length(candidate))
+    plain = whole & ~((fit["k"] == "phone") & candidate.rlike("^[0-9]+$"))
+
+    def step(state: Column, _: Column) -> Column:
+        def check(new: Column) -> Column:
+            same = _let(F.concat(before, new, after), lambda m: _let(_fit(m), lambda f: (f["at"] == fit["at"]) & (F.length(f["v"]) == F.length(new)) & f["k"].eqNullSafe(fit["k"])))
+            return F.struct(new.alias("v"), (plain | same).alias("ok"))
+
+        return F.when(state["ok"], state).otherwise(_let(_pseudonym(state["v"], fit["k"], secret, undo), check))
+
+    walked = F.aggregate(F.sequence(F.lit(1), F.lit(TRIES)), F.struct(fit["v"].alias("v"), F.lit(False).alias("ok")), step)["v"]
+    return F.when(fit["k"].isNull(), fit["v"]).otherwise(walked)
+
+
+def _pieces(text: Column, secret: str, undo: bool) -> Column:
+    """A text as an array of structs: ``s`` and ``n``, which is 1 for a pseudonym, -1 for text to be looked at again, else 0."""
+    found = F.transform(F.regexp_extract_all(text, F.lit(CANDIDATES), F.lit(0)), lambda m: F.struct(m.alias("m"), _fit(m).alias("f")))
+
+    def cut(found: Column) -> Column:
+        def piece(gap: Column, i: Column) -> Column:
+            here, last = F.get(found, i), F.get(found, i - 1)
+            rest = F.coalesce(F.substring(last["m"], last["f"]["at"] + F.length(last["f"]["v"]) + 1, F.length(last["m"])), F.lit(""))
+            head = F.coalesce(F.substring(here["m"], F.lit(1), here["f"]["at"]), F.lit(""))
+            value = F.coalesce(F.when(here.isNotNull(), _replaced(here["m"], here["f"], secret, undo)), F.lit(""))
+            return F.array(
+                F.struct(F.concat(rest, gap, head).alias("s"), F.when(rest != "", -1).otherwise(0).alias("n")),
+                F.struct(value.alias("s"), F.when(here["f"]["k"].isNotNull(), 1).otherwise(0).alias("n")),
+            )
+
+        return F.flatten(F.transform(F.split(text, CANDIDATES, -1), piece))
+
+    return _let(found, cut)
+
+
 def _pseudonym(value: Column, kind: Column, secret: str, undo: bool) -> Column:
     new = F.when(kind == "email", _email(value, secret, undo)).when(kind == "iban", _iban(value, secret, undo))
     for form in ("iso_date", "slash_date", "slash_us", "dot_date"):
@@ -213,8 +322,8 @@ def _pseudonym(value: Column, kind: Column, secret: str, undo: bool) -> Column:
 def pseudonymise(docs: DataFrame, secret: str, text: str = "text", undo: bool = False) -> DataFrame:
     """``docs`` with personal values in ``text`` replaced, and ``n_pseudonyms``: how many there were.
 
-    Found are e-mail addresses (the part before the @ is permuted), phone numbers, payment cards
-    that pass the Luhn check, IBANs with a right check number, US social security numbers in use, IPv4
+    Found are e-mail addresses (the part before the @ is permuted), phone numbers (groups of 3, 3 and 4 digits, a plus and 7 to 15 digits, or ten
+    digits from 2000000000 on), payment cards that pass the Luhn check, IBANs with a right check number, also with other groups of digits or words behind them, US social security numbers in use, IPv4
     addresses, and existing dates from 1900 to August 2099. What fails its check stays as it is, and so does
     all other text. Check digits are worked out anew, so a pseudonym passes the same checks. Equal
     values link across documents, dates also across forms. Slashed dates are read day first where that is
@@ -226,10 +335,12 @@ def pseudonymise(docs: DataFrame, secret: str, text: str = "text", undo: bool =
     """
     value = F.col(text)
     maybe = F.coalesce(value.rlike("[0-9@]"), F.lit(False))
-    found = F.when(maybe, F.regexp_extract_all(value, F.lit(CANDIDATES), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    rows = docs.withColumn("_pii", F.transform(found, lambda m: F.struct(m.alias("m"), _kind(m).alias("k"))))
-    new = F.transform("_pii", lambda p: _pseudonym(p["m"], p["k"], secret, undo))
-    between = F.split(value, CANDIDATES, -1)
-    merged = F.array_join(F.zip_with(between, F.concat(new, F.array(F.lit(""))), lambda b, n: F.concat(b, n)), "")
-    count = F.size(F.filter("_pii", lambda p: p["k"].isNotNull())).cast("long")
-    return rows.withColumn(text, F.when(count > 0, merged).otherwise(value)).withColumn("n_pseudonyms", count).drop("_pii")
+    start = F.array(F.struct(value.alias("s"), F.lit(-1).alias("n")))
+    looked = F.aggregate(
+        F.sequence(F.lit(0), F.lit(AGAIN)), start,
+        lambda pieces, _: F.flatten(F.transform(pieces, lambda p: F.when(p["n"] < 0, _pieces(p["s"], secret, undo)).otherwise(F.array(p)))),
+    )
+    rows = docs.withColumn("_pii", F.when(maybe, looked))
+    count = F.coalesce(F.size(F.filter("_pii", lambda p: p["n"] > 0)), F.lit(0)).cast("long")
+    merged = F.array_join(F.transform("_pii", lambda p: p["s"]), "")
+    return rows.withColumn(text, F.when(F.exists("_pii", lambda p: p["n"] > 0), merged).otherwise(value)).withColumn("n_pseudonyms", F.greatest(count, F.lit(0).cast("long"))).drop("_pii")

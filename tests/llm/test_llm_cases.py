@@ -224,6 +224,35 @@ def test_pseudonyms_keep_format_and_link(spark):
     assert other != a
 
 
+def test_pseudonyms_of_values_before_other_tokens(spark):
+    """Expiry, CVV, BIC and currency behind a value don't hide it; phones of other countries are found; all is undone."""
+    hidden = {
+        "card 4111 1111 1111 1111 12/27 ok": "4111 1111 1111 1111",
+        "4111111111111111 123": "4111111111111111",
+        "4111-1111-1111-1111 12 27": "4111-1111-1111-1111",
+        "no 55 4111 1111 1111 1111": "4111 1111 1111 1111",
+        "3782 822463 10005 1234": "3782 822463 10005",
+        "ES91 2100 0418 4502 0005 1332 BIC CAIXESBB": "2100 0418 4502 0005 1332",
+        "ES9121000418450200051332 EUR": "21000418450200051332",
+        "DE89 3704 0044 0532 0130 00 EUR": "3704 0044 0532 0130 00",
+        "4111 1111 1111 1111 12/05/1980": "12/05/1980",
+        "call +33 1 23 45 67 89 now": "1 23 45 67 89",
+        "+49 30 1234567.": "30 1234567",
+        "+33 1 23 45 67 89 4111 1111 1111 1111": "4111 1111 1111 1111",
+        "tel 5551234567": "5551234567",
+    }
+    two = "ES91 2100 0418 4502 0005 1332 ES91 2100 0418 4502 0005 1332"
+    docs = documents(spark, [(i, t, "en", "a") for i, t in enumerate([*hidden, two, "4111 1111 1111 1112 12 27", "at 1700000000 or 12345"])])
+    for secret in "km":
+        done = pii.pseudonymise(docs, secret)
+        found = {r.doc_id: r for r in done.collect()}
+        for i, (text, value) in enumerate(hidden.items()):
+            assert value not in found[i].text and found[i].n_pseudonyms >= 1 and re.sub(r"\d", "0", found[i].text) == re.sub(r"\d", "0", text), text
+        assert found[len(hidden)].n_pseudonyms == 2 and [found[len(hidden) + k].n_pseudonyms for k in (1, 2)] == [0, 0]
+        back = pii.pseudonymise(done, secret, undo=True).collect()
+        assert {r.doc_id: r.text for r in back} == {r.doc_id: r.text for r in docs.collect()}
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(1)
     rows = [(i, [float(x) for x in rng.normal(size=8)], "x") for i in range(300)]
