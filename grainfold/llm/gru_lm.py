@@ -26,7 +26,7 @@ END = np.uint64(0x454E4421)
 KNOWN_WORDS, HEAD_WORDS, CLASSES, STATE = 1 << 19, 1024, 32, 16
 #: Texts side by side and steps of a window, in training and in scoring; rounds, and the share of training texts in each.
 LANES, STEPS, SCORE_LANES, SCORE_STEPS = 64, 32, 384, 48
-ROUNDS, SHARE = 2, 4
+ROUNDS, SHARE = 4, 4
 
 
 def token_streams(hasher: WordHasher, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -371,7 +371,7 @@ def score_texts(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     Gives the key, ``held_out``, ``n_tokens`` (words and the end), ``n_known`` (those that training has), ``train_tokens``,
     ``base_score`` (add-half word counts) and ``score`` (the network). Words are lower-cased in A-Z and
     told apart by 64-bit hashes. Counts of words that aren't frequent enough to be sent to all tasks are joined.
-    Each round trains on another quarter of the training rows, by hash of the key.
+    Each round trains on another quarter of the training rows, by hash of the key, and the rounds go through all of them.
 
     Null text counts as empty and is scored as an end alone. Repeated rows are scored each; null keys are kept; if
     there is nothing to learn from, all scores are 0. Other columns don't matter.

@@ -269,6 +269,19 @@ def test_vectors(spark):
     assert [(r.query_id, r.rank, r.vec_id) for r in few] == [(100, 1, 101)]
 
 
+def test_every_training_text_is_learned_from(spark, monkeypatch):
+    docs = documents(spark, [(i, f"text {i}", "en", "a") for i in range(60)])
+    seen = []
+
+    def train(texts, known, weights):
+        seen.extend(r.text for r in texts.select("text").collect())
+        return weights
+
+    monkeypatch.setattr(gru_lm, "train", train)
+    gru_lm.score_texts(docs)
+    assert sorted(seen) == sorted(r.text for r in docs.where(~gru_lm.held_out(F.col("doc_id"))).collect())
+
+
 def test_mix_reaches_targets(spark):
     rng = np.random.default_rng(2)
     rows = [(i, "w " * int(rng.integers(1, 60)), "en", "s" + str(min(5, int(rng.exponential(2))))) for i in range(4000)]
