@@ -74,7 +74,7 @@ def svm_binary(spark, sf):
 def text_svm(spark, sf):
     train, _, test = _parts(_texts(spark, sf))
     index = encode.label_indexer(train, "lang")
-    model = learn.text_svm("tokens", weight="weight", min_df=5, max_features=20_000).fit(index.transform(train))
+    model = learn.text_svm("tokens", weight="weight", min_df=5).fit(index.transform(train))
     return evaluate.classification_report(model.transform(index.transform(test)), "label", "prediction")
 
 
@@ -155,7 +155,7 @@ def predict_output(spark, sf):
     labels = read_table(spark, sf, "labels").select("doc_id", F.col("toxic").cast("double").alias("label"))
     known = docs.join(labels, "doc_id")
     unknown = docs.join(labels, "doc_id", "left_anti")
-    stages = terms.vectorizer("tokens", min_df=5, max_features=5_000)
+    stages = terms.vectorizer("tokens", min_df=5)
     model = Pipeline(stages=[*stages, learn.forest_classifier(trees=20)]).fit(known)
     return learn.predict_output(model, unknown, "doc_id", probability=True)
 
