@@ -21,7 +21,7 @@ def labelled_examples(
     ``samples`` is (file_id, i, x); ``segments`` is (file_id, start, end) in seconds.
     """
     if noise_seed is not None:
-        samples = signals.add_noise(samples, "x", rate, noise_seed)
+        samples = signals.add_noise(samples, "x", rate, noise_seed, "file_id", "i")
     frames = signals.stft_power(samples, "file_id", "i", "x", nperseg)
     examples = signals.group_frames(frames, "file_id", width)
     step = width * (nperseg // 2)

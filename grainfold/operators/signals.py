@@ -204,9 +204,10 @@ def _uniform(key: Column, salt: str) -> Column:
     return (F.conv(digits, 16, 10).cast("double") + 1) / float(1 << 52)
 
 
-def add_noise(df: DataFrame, value: str, rate: float, seed: int, key: str) -> DataFrame:
-    """Add Gaussian noise of power 0.5 * rate / 2 that depends on the row's key and the seed alone."""
-    first, second = _uniform(F.col(key), f"{seed}a"), _uniform(F.col(key), f"{seed}b")
+def add_noise(df: DataFrame, value: str, rate: float, seed: int, *keys: str) -> DataFrame:
+    """Add Gaussian noise of power 0.5 * rate / 2 that depends on the row's keys and the seed alone."""
+    key = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+    first, second = _uniform(key, f"{seed}a"), _uniform(key, f"{seed}b")
     normal = F.sqrt(-2 * F.ln(first)) * F.cos(2 * math.pi * second)
     return df.withColumn(value, F.col(value) + normal * math.sqrt(0.5 * rate / 2))
 

@@ -155,7 +155,7 @@ _U = "(CAST(CAST('0x' || substr(md5('1{0}|' || event_id), 1, 13) AS BIGINT) AS D
 
 @query(f"""SELECT event_id, round(value + sqrt(-2 * ln({_U.format('a')})) * cos(2 * pi() * {_U.format('b')}) * sqrt(2000.0), 4) AS value FROM events""")
 def add_noise(spark, sf):
-    noisy = signals.add_noise(read_table(spark, sf, "events").select("event_id", "value"), "value", 8000, seed=1, key="event_id")
+    noisy = signals.add_noise(read_table(spark, sf, "events").select("event_id", "value"), "value", 8000, 1, "event_id")
     return noisy.withColumn("value", r("value"))
 
 

@@ -182,7 +182,7 @@ def test_template(spark):
 
 
 def test_noise_has_its_power(spark):
-    out = signals.add_noise(series(spark, np.zeros(4000)), "x", 8.0, seed=3, key="i")
+    out = signals.add_noise(series(spark, np.zeros(4000)), "x", 8.0, 3, "i")
     assert out.agg(F.stddev("x")).first()[0] == pytest.approx(math.sqrt(2), rel=0.1)
 
 
