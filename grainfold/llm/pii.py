@@ -22,7 +22,7 @@ _IBANS = "|".join(rf"(?:{c.replace(' ', '|')})\d{{2}}(?: ?[A-Z0-9]{{4}}){{{n //
 _NEXT = r"(?! (?:\d{4}[ -]\d{4}[ -]\d{4}|\d{13}|\d{4}-\d{2}-\d{2}|\d{3}-\d{2}-\d{4}|\d{1,3}\.\d{1,3}\.\d|\d{2}[./]\d{2}[./]\d|\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}(?!\w)))"
 #: The forms a candidate may have, in the order in which they are tried.
 FORMS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "iban": rf"(?<!\w)(?:{_IBANS})(?!\w)|(?<!\w)[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?(?!\w)",
     "iso_date": r"(?<![\w-])\d{4}-\d{2}-\d{2}(?![\w-])",
     "slash_date": r"(?<![\w/])\d{2}/\d{2}/\d{4}(?![\w/])",
