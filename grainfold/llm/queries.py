@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grainfold.llm import ann, decontaminate, gru_lm, langid, licences, line_dedup, mixing, ngram_join, pii, token_counts
+from grainfold.llm import ann, decontaminate, gru_lm, langid, licences, line_dedup, mixing, ngram_join, packing, pii, resampling, spelling, token_counts
 from grainfold.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,19 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licences.recognise_licences(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.array_join("sentence_ids", ",").alias("sentence_ids"), F.array_join("licences", ",").alias("licences"), "unmatched")
+
+
+@query()
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query(spelling.WORDS_SQL)
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_spellings(table(spark, sf_dir, "documents"))
+
+
+@query(resampling.RESAMPLE_SQL)
+def op13_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
