@@ -170,13 +170,13 @@ def pca_k(spark, sf):
 
 @query()
 def kmeans_sweep(spark, sf):
-    return cluster.kmeans_sweep(_vectors(spark, sf).select("features"), ks=[2, 5, 8, 11])
+    return cluster.kmeans_sweep(_vectors(spark, sf).select("features"))
 
 
 @query()
 def spectral_cluster(spark, sf):
     rows = read_table(spark, sf, "embeddings").select("vec_id", arrays.l2_normalize(F.col("embedding")).alias("x"))
-    return cluster.spectral_sweep(rows, "vec_id", "x", ks=[2, 5, 8])
+    return cluster.spectral_sweep(rows, "vec_id", "x")
 
 
 @query()

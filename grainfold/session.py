@@ -65,4 +65,13 @@ def stored(df: DataFrame) -> DataFrame:
     """
     path = scratch(df.sparkSession, "table")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(table: DataFrame) -> None:
+    """Remove a table that ``stored`` wrote, once nothing is going to read it any more."""
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(table._stored_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
