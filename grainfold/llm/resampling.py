@@ -21,7 +21,7 @@ from grainfold.session import stored
 #: What words consist of: digits, lower-case a to z, and all that isn't ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Characters that are split at once, and distinct features whose buckets a task remembers.
-PIECE, HELD = 1 << 20, 1 << 18
+PIECE, HELD = 1 << 16, 1 << 18
 
 
 def text_features(docs: DataFrame, key: str, text: str, most: int, buckets: int) -> DataFrame:
