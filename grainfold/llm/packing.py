@@ -12,11 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grainfold.llm.common import arrow_rows, bounded_batches
-from grainfold.llm.ranges import key_bounds, range_of, range_starts
+from grainfold.operators.ranges import key_bounds, range_count, range_of, range_starts
 from grainfold.session import stored
 
 #: Hash buckets of a document's vector, dimensions it is projected to, bits of each, and bits that part equal documents.
 BUCKETS, DIMS, BITS, TIE_BITS = 1024, 3, 14, 21
+#: Tokens that one range of the curve should hold.
+RANGE_TOKENS = 1 << 23
 #: Characters encoded at once, and the longest run without blanks for the faster engine.
 PIECE, LONG_RUN = 1 << 20, 10_000
 
@@ -210,7 +212,8 @@ def pack_documents(
     encoded = rows.mapInArrow(encode, f"key {kind}, place long, n long, small boolean, ids binary")
     tie = F.xxhash64("key").bitwiseAND((1 << TIE_BITS) - 1)
     table = stored(encoded.withColumn("place", F.shiftleft("place", TIE_BITS).bitwiseOR(tie)))
-    bounds = key_bounds(table, "place", table.count())
+    tokens = table.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    bounds = key_bounds(table, "place", range_count(spark, tokens, RANGE_TOKENS))
     ranges = len(bounds) + 1
     numbered = table.withColumn("range", range_of(F.col("place"), bounds))
     starts = range_starts(numbered, "range", F.col("n"), ranges)

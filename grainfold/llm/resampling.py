@@ -14,12 +14,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from grainfold.llm.common import arrow_rows, bounded_batches
-from grainfold.llm.ranges import key_bounds, range_of, range_starts
 from grainfold.llm.spelling import CRC_TABLE, crc_sql
+from grainfold.operators.ranges import key_bounds, range_count, range_of, range_starts
 from grainfold.session import stored
 
 #: What words consist of: digits, lower-case a to z, and all that isn't ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Documents that one range of scores should hold.
+RANGE_ROWS = 1 << 18
 #: Characters that are split at once, and distinct features whose buckets a task remembers.
 PIECE, HELD = 1 << 16, 1 << 18
 
@@ -150,7 +152,7 @@ def resample(
     fit = scored.where("_fit")
     n = fit.count()
     drawn = percent * n // 100
-    bounds = key_bounds(fit, "_down", n)
+    bounds = key_bounds(fit, "_down", range_count(docs.sparkSession, n, RANGE_ROWS))
     numbered = scored.withColumn("_range", F.when(F.col("_fit"), range_of(F.coalesce("_down", F.lit(0)), bounds)))
     starts = range_starts(numbered.where("_fit"), "_range", F.lit(1), len(bounds) + 1)
     upto = int(np.searchsorted(starts, drawn, side="left"))

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from grainfold.llm import ann, decontaminate, gru_lm, langid, licences, line_dedup, mixing, ngram_join, pii, token_counts
+from grainfold.llm import ann, decontaminate, gru_lm, langid, licences, line_dedup, mixing, ngram_join, packing, pii, resampling, spelling, token_counts
 from grainfold.llm.groups import components
 from grainfold.llm.queries import tokenizer_path
 
@@ -59,10 +59,13 @@ def _apply(name, docs, spark):
         "mix": lambda: mixing.mix_sources(docs),
         "lang": lambda: langid.predict_language(docs),
         "licences": lambda: licences.recognise_licences(docs),
+        "pack": lambda: packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json")),
+        "spell": lambda: spelling.group_spellings(docs),
+        "resample": lambda: resampling.resample(docs, bench),
     }[name]()
 
 
-NAMES = ["tokens", "leaks", "clean", "lines", "groups", "one", "pii", "lm", "mix", "lang", "licences"]
+NAMES = ["tokens", "leaks", "clean", "lines", "groups", "one", "pii", "lm", "mix", "lang", "licences", "pack", "spell", "resample"]
 
 
 @pytest.fixture(scope="module")
@@ -84,7 +87,7 @@ def test_empty_table(spark, name):
     assert _apply(name, documents(spark, []), spark).count() == 0
 
 
-@pytest.mark.parametrize("name", ["tokens", "lines", "groups", "pii", "lm", "mix", "lang", "licences"])
+@pytest.mark.parametrize("name", ["tokens", "lines", "groups", "pii", "lm", "mix", "lang", "licences", "resample"])
 def test_one_row_for_each(odd, done, name):
     assert sorted((r.doc_id is None, r.doc_id) for r in done(name)[1]) == sorted((r.doc_id is None, r.doc_id) for r in odd.collect())
 
