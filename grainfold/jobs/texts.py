@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.ml import Model
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grainfold.functions import text as t
-from grainfold.operators import clean, encode, evaluate, learn, profile, split, terms
+from grainfold.operators import clean, evaluate, profile, split, textmodel
 
 # fixed values: weights of the legal classes
 LEGAL_WEIGHTS = {"CIV": 1, "COM": 10, "CRIM": 10, "SOC": 1}
@@ -38,29 +37,24 @@ def price_audit(rows: DataFrame) -> dict[str, DataFrame]:
 
 
 def category_model(
-    rows: DataFrame, key: str, label: str, weights: Mapping | None = None, min_df: float = 1, ngrams: int = 2,
-    stop: list[str] = (), reg: float = 1e-3, max_iter: int = 10, max_features: int = 1 << 18,
-) -> tuple[Model, Model, DataFrame]:
-    """Label index, SVM on TF-IDF of words and pairs, and the class report on the test rows."""
+    rows: DataFrame, key: str, label: str, weights: Mapping | None = None, min_df: float = 1, ngrams: int = 2, stop: list[str] = (), alpha: float = 1e-3, epochs: int = 10,
+) -> tuple[textmodel.TextSvm, DataFrame]:
+    """SVM on TF-IDF of words and pairs, and the class report on the test rows."""
     known = rows.where(F.col(label).isNotNull() & F.col("text").isNotNull())
-    known = known.withColumn("tokens", terms.token_array(F.col("text"), ngrams=ngrams, stop=stop))
     known = split.hash_split(known, key, {"train": 70, "valid": 15, "test": 15})
-    if weights:
-        known = encode.class_weight(known, label, weights)
-    train = known.where("part = 'train'")
-    index = encode.label_indexer(train, label)
-    model = learn.text_svm(
-        "tokens", weight="weight" if weights else None, reg=reg, max_iter=max_iter, min_df=min_df,
-        max_features=max_features,
-    ).fit(index.transform(train))
-    scored = model.transform(index.transform(known.where("part = 'test'")))
-    return index, model, evaluate.classification_report(scored, "label", "prediction")
-
-
-def predict_categories(index: Model, model: Model, rows: DataFrame, key: str, ngrams: int = 2, stop: list[str] = ()) -> DataFrame:
-    """(key, predicted) with the category's own name; rows without text go."""
-    from pyspark.ml.feature import IndexToString
+    model = textmodel.fit_text_svm(known.where("part = 'train'"), key, "text", label, weights, alpha, epochs, ngrams, min_df=min_df, stop=stop)
+    test = known.where("part = 'test'")
+    scored = test.join(textmodel.predict_text(model, test, key, "text"), key)
+    return model, evaluate.classification_report(scored, label, "prediction")
+
+
+def search_category_model(rows: DataFrame, key: str, label: str, weights: Mapping | None = None, min_df: float = 1, stop: list[str] = ()) -> DataFrame:
+    """Accuracy of all combinations of epochs, n-grams, IDF and penalty on the training rows."""
+    known = rows.where(F.col(label).isNotNull() & F.col("text").isNotNull())
+    train = split.hash_split(known, key, {"train": 70, "valid": 15, "test": 15}).where("part = 'train'")
+    return textmodel.text_grid_search(train, key, "text", label, weights, min_df=min_df, stop=stop)
+
 
-    rows = rows.where(F.col("text").isNotNull()).withColumn("tokens", terms.token_array(F.col("text"), ngrams=ngrams, stop=stop))
-    names = IndexToString(inputCol="prediction", outputCol="predicted", labels=index.labels)
-    return names.transform(model.transform(rows)).select(key, "predicted")
+def predict_categories(model: textmodel.TextSvm, rows: DataFrame, key: str) -> DataFrame:
+    """(key, predicted) with the category's own name; rows without text go."""
+    return textmodel.predict_text(model, rows.where(F.col("text").isNotNull()), key, "text").withColumnRenamed("prediction", "predicted")

@@ -8,8 +8,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from grainfold.functions import arrays, text as t
-from grainfold.operators import cluster, encode, evaluate, learn, split, terms
-from grainfold.plans.registry import query
+from grainfold.operators import cluster, encode, evaluate, learn, split, terms, textmodel
+from grainfold.plans.registry import query, r
 from grainfold.session import settle
 from grainfold.sources.readers import read_table
 
@@ -24,12 +24,12 @@ def _vectors(spark, sf):
     return split.hash_split(rows, "vec_id", SPLIT)
 
 
+LANG_WEIGHTS = {"en": 1, "fr": 10, "de": 10, "es": 1}
+
+
 def _texts(spark, sf):
-    """Documents as stop-word-free tokens with a language label, its weight and the part."""
-    docs = read_table(spark, sf, "documents").select("doc_id", "text", "lang")
-    docs = encode.class_weight(docs, "lang", {"en": 1, "fr": 10, "de": 10, "es": 1})
-    docs = docs.withColumn("tokens", terms.token_array(F.col("text")))
-    return split.hash_split(docs.drop("text"), "doc_id", SPLIT)
+    """Documents with a language label and the part."""
+    return split.hash_split(read_table(spark, sf, "documents").select("doc_id", "text", "lang"), "doc_id", SPLIT)
 
 
 def _prices(spark, sf):
@@ -73,9 +73,23 @@ def svm_binary(spark, sf):
 @query()
 def text_svm(spark, sf):
     train, _, test = _parts(_texts(spark, sf))
-    index = encode.label_indexer(train, "lang")
-    model = learn.text_svm("tokens", weight="weight", min_df=5).fit(index.transform(train))
-    return evaluate.classification_report(model.transform(index.transform(test)), "label", "prediction")
+    model = textmodel.fit_text_svm(train, "doc_id", "text", "lang", LANG_WEIGHTS, min_df=5)
+    scored = test.join(textmodel.predict_text(model, test, "doc_id", "text"), "doc_id")
+    return evaluate.classification_report(scored, "lang", "prediction")
+
+
+_TRAIN = "CAST('0x' || substr(md5(doc_id::VARCHAR), 1, 8) AS BIGINT) % 100 < 70"
+
+
+@query(f"""SELECT 'alpha=' || a || ', epochs=' || e || ', ngrams=' || g || ', use_idf=' || i AS params, n AS rows, round(top / n, 6) AS majority, TRUE AS better
+FROM (SELECT unnest(['0.01', '0.001']) AS a), (SELECT unnest(['5', '10', '15']) AS e), (SELECT unnest(['1', '2']) AS g), (SELECT unnest(['True', 'False']) AS i),
+  (SELECT sum(c)::BIGINT AS n, max(c) AS top FROM (SELECT lang, count(*) AS c FROM documents WHERE lang IS NOT NULL AND {_TRAIN} GROUP BY lang))""")
+def text_grid_search(spark, sf):
+    """All combinations, and whether each is right more often than the most frequent class would be."""
+    train = _parts(_texts(spark, sf))[0].where("lang IS NOT NULL")
+    found = textmodel.text_grid_search(train, "doc_id", "text", "lang", LANG_WEIGHTS, min_df=5)
+    share = train.groupBy("lang").count().agg(F.max("count")).first()[0] / F.col("rows")
+    return found.select("params", "rows", r(share, 6).alias("majority"), (F.col("metric") > share).alias("better"))
 
 
 @query()
@@ -151,13 +165,15 @@ def feature_importance(spark, sf):
 @query()
 def predict_output(spark, sf):
     docs = read_table(spark, sf, "documents").select("doc_id", "text")
-    docs = docs.withColumn("tokens", terms.token_array(F.col("text"))).drop("text")
     labels = read_table(spark, sf, "labels").select("doc_id", F.col("toxic").cast("double").alias("label"))
     known = docs.join(labels, "doc_id")
-    unknown = docs.join(labels, "doc_id", "left_anti")
-    stages = terms.vectorizer("tokens", min_df=5)
-    model = Pipeline(stages=[*stages, learn.forest_classifier(trees=20)]).fit(known)
-    return learn.predict_output(model, unknown, "doc_id", probability=True)
+    counts, n_docs = terms.term_counts(docs, "doc_id", "text"), known.count()
+    seen = terms.term_counts(known, "doc_id", "text")
+    index = terms.term_index(terms.vocabulary(seen, F.lit(n_docs), min_df=5))
+    rows = docs.join(terms.sparse_rows(counts, index, "doc_id", n_docs), "doc_id", "left")
+    rows = settle(terms.sparse_vectors(rows.select("doc_id", "idx", "val"), index.count()).join(labels, "doc_id", "left"))
+    model = learn.forest_classifier(trees=20).fit(rows.where("label IS NOT NULL"))
+    return learn.predict_output(model, rows.where("label IS NULL").drop("label"), "doc_id", probability=True)
 
 
 # ---- clusters and topics

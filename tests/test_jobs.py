@@ -172,9 +172,9 @@ def test_shop_and_legal_texts(spark):
     data = [(i, f"{words['ABC'[i % 3]]} item tail one two", "ABC"[i % 3] if i < 150 else None) for i in range(180)]
     rows = texts.shop_rows(spark.createDataFrame(data, "id int, description string, cat string"))
     assert rows.first().text.endswith("item")
-    index, model, report = texts.category_model(rows, "id", "cat", {"A": 1, "B": 10})
+    model, report = texts.category_model(rows, "id", "cat", {"A": 1, "B": 10})
     assert report.first().accuracy == 1.0
-    out = {r.id: r.predicted for r in texts.predict_categories(index, model, rows.where("cat is null"), "id").collect()}
+    out = {r.id: r.predicted for r in texts.predict_categories(model, rows.where("cat is null"), "id").collect()}
     assert out == {i: "ABC"[i % 3] for i in range(150, 180)}
 
 
