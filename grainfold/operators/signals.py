@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from grainfold.operators import fourier
 from grainfold.operators.clean import attach
 from grainfold.operators.sequence import halo_blocks
 
@@ -18,8 +19,7 @@ def periodogram(series: DataFrame, index: str, value: str, keys: Sequence[str] =
     """Fourier coefficients re, im and magnitude per series, of bins 1 up to half its length (or ``max_bin``).
 
     A series lies on a whole-number grid that begins at its first index; its mean is taken off, so that gaps count as
-    the mean. Each sample adds to every bin; the sums are combined on the map side, so only one row per bin, task and
-    series is shuffled. O(samples * bins).
+    the mean. Series are transformed in pieces of bounded size (see :mod:`fourier`), at a cost of n log n.
     """
     keys = list(keys)
     grid = series.groupBy(*keys).agg(F.min(index).alias("_at"), (F.max(index) - F.min(index) + 1).cast("bigint").alias("_n"), F.avg(value).alias("_mean"))
@@ -27,12 +27,13 @@ def periodogram(series: DataFrame, index: str, value: str, keys: Sequence[str] =
         rows = attach(series, grid, keys)
     else:
         rows = series.withColumns({c: grid.select(c).scalar() for c in ("_at", "_n", "_mean")})
-    last = F.floor(F.col("_n") / 2) if max_bin is None else F.least(F.floor(F.col("_n") / 2), F.lit(max_bin))
-    angle = 2 * math.pi * F.pmod(F.col("k") * (F.col(index) - F.col("_at")), F.col("_n")) / F.col("_n")
-    terms = rows.where(last >= 1).withColumn("k", F.explode(F.sequence(F.lit(1).cast("bigint"), last.cast("bigint"))))
-    off = F.col(value) - F.col("_mean")
-    sums = terms.groupBy(*keys, "k").agg(F.sum(off * F.cos(angle)).alias("re"), F.sum(-off * F.sin(angle)).alias("im"))
-    return sums.withColumn("magnitude", F.sqrt(F.col("re") * F.col("re") + F.col("im") * F.col("im")))
+    off = F.coalesce((F.col(value) - F.col("_mean")).cast("double"), F.lit(0.0))
+    samples = rows.where("_n > 1").select(*keys, "_n", (F.col(index) - F.col("_at")).cast("long").alias("_j"), off.alias("re"), F.lit(0.0).alias("im"))
+    lengths = grid.where("_n > 1").select(*keys, "_n")
+    found = fourier.spectrum(samples, lengths, keys).where((F.col("k") >= 1) & (F.col("k") <= F.floor(F.col("_n") / 2)))
+    if max_bin is not None:
+        found = found.where(F.col("k") <= max_bin)
+    return found.select(*keys, "k", "re", "im", F.sqrt(F.col("re") * F.col("re") + F.col("im") * F.col("im")).alias("magnitude"))
 
 
 def dominant_bin(spectrum: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

@@ -6,12 +6,12 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grainfold.operators.sequence import halo_blocks
+from grainfold.session import discard, stored
 
 _SECONDS = {"minute": 60, "hour": 3600, "day": 86400}
 
@@ -99,16 +99,90 @@ def lag_features(series: DataFrame, index: str, value: str, order: int) -> DataF
     return sent.groupBy(index).agg(*columns).dropna()
 
 
+def lagged_sums(x: np.ndarray, known: np.ndarray, order: int) -> np.ndarray:
+    """Counts, sums and products of all windows of ``order + 1`` known samples that end in ``x[order:]``, as one flat array.
+
+    Along a run of windows the product of lags a + 1 and b + 1 is that of a and b, moved by one sample: the products with lag 0 are
+    summed up, all others follow from them and the run's ends. No sample is copied for a lag.
+    """
+    p = order + 1
+    n, sums, products = 0, np.zeros(p), np.zeros((p, p))
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], known.astype(np.int8), [0]])))
+    for begin, end in zip(edges[::2], edges[1::2]):
+        first = begin + order
+        if first >= end:
+            continue
+        n += end - first
+        own = x[first:end]
+        # what enters and leaves when the windows move back by a sample
+        gone, come = x[:end][::-1][:order], x[:first][::-1][:order]
+        row = np.array([own @ x[first - b : end - b] for b in range(p)])
+        part = np.zeros((p, p))
+        part[0], part[:, 0] = row, row
+        shift = np.outer(come, come) - np.outer(gone, gone)
+        for d in range(order):
+            diagonal = part[0, d] + np.concatenate([[0], np.cumsum(np.diagonal(shift, d))])
+            at = np.arange(p - d)
+            part[at, at + d] = diagonal
+            part[at + d, at] = diagonal
+        products += part
+        sums += own.sum() + np.concatenate([[0], np.cumsum(come - gone)])
+    return np.concatenate([[n], sums, products.ravel()])
+
+
+def add_arrays(rows: DataFrame, number: str, value: str, fan: int = 32) -> np.ndarray | None:
+    """Sum of equally long arrays of numbered rows, ``fan`` at a time, until few enough are left for the driver; None without rows."""
+
+    def add(key: tuple, table: pa.Table) -> pa.Table:
+        total = table.column(value).combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1).sum(axis=0)
+        return pa.table({number: pa.array([int(key[0].as_py())], pa.int64()), value: pa.array([total], pa.list_(pa.float64()))})
+
+    here = stored(rows.select(F.col(number).cast("long").alias(number), value))
+    while here.count() > fan:
+        there = stored(here.groupBy(F.floor(F.col(number) / fan).alias("_g")).applyInArrow(add, f"`{number}` long, `{value}` array<double>"))
+        discard(here)
+        here = there
+    found = [np.array(r[0]) for r in here.select(value).collect()]
+    discard(here)
+    return sum(found) if found else None
+
+
+def ar_equations(series: DataFrame, index: str, value: str, order: int, block: int = 1 << 16) -> tuple[float, int, np.ndarray, np.ndarray]:
+    """(mean, n, sums, products) of the ``n`` complete windows of ``order + 1`` samples, less the mean: what least squares needs.
+
+    The series is cut into blocks that also see the ``order`` samples before them; a block gives one row.
+    """
+    block = max(block, order + 1)
+    rows = series.where(F.col(value).isNotNull())
+    mean = rows.agg(F.avg(value)).first()[0] or 0.0
+    centred = rows.select(F.col(index).cast("long").alias("_i"), (F.col(value) - mean).cast("double").alias("_x"))
+
+    def sums(key: tuple, table: pa.Table) -> pa.Table:
+        number = int(key[0].as_py())
+        at = table.column("_i").to_numpy() - number * block + order
+        x, known = np.zeros(block + order), np.zeros(block + order, bool)
+        x[at], known[at] = table.column("_x").to_numpy(), True
+        return pa.table({"block": pa.array([number], pa.int64()), "v": pa.array([lagged_sums(x, known, order)], pa.list_(pa.float64()))})
+
+    cut = halo_blocks(centred, "_i", block, order, 0)
+    found = add_arrays(cut.withColumn("block", F.col("block").cast("long")).groupBy("block").applyInArrow(sums, "block long, v array<double>"), "block", "v")
+    if found is None:
+        return mean, 0, np.zeros(order + 1), np.zeros((order + 1, order + 1))
+    return mean, int(found[0]), found[1 : order + 2], found[order + 2 :].reshape(order + 1, order + 1)
+
+
 def ar_fit(series: DataFrame, index: str, value: str, order: int) -> DataFrame:
     """Autoregression by least squares: (term, coefficient), terms ``intercept`` and ``lag_n``.
 
-    One pass of normal equations, then a system of ``order`` equations; Spark solves up to 4,096 of them.
+    Normal equations in one pass over blocks of the series; only windows without a gap count. The system of
+    ``order + 1`` equations is solved on the driver; of several solutions, the shortest.
     """
-    rows = lag_features(series, index, value, order)
-    lags = [f"lag_{h}" for h in range(1, order + 1)]
-    vectors = VectorAssembler(inputCols=lags, outputCol="features").transform(rows)
-    model = LinearRegression(labelCol=value, solver="normal").fit(vectors)
-    found = [("intercept", float(model.intercept))] + list(zip(lags, map(float, model.coefficients)))
+    mean, n, sums, products = ar_equations(series, index, value, order)
+    left = np.zeros((order + 1, order + 1))
+    left[0, 0], left[0, 1:], left[1:, 0], left[1:, 1:] = n, sums[1:], sums[1:], products[1:, 1:]
+    right = np.concatenate([sums[:1], products[0, 1:]])
+    c = np.linalg.lstsq(left, right, rcond=None)[0]
+    found = [("intercept", float(c[0] + mean * (1 - c[1:].sum())))] + [(f"lag_{h}", float(c[h])) for h in range(1, order + 1)]
     return series.sparkSession.createDataFrame(found, "term string, coefficient double")
 
 

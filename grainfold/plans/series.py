@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from grainfold.functions.dates import epoch_seconds
 from grainfold.operators import signals, timeseries as ts
 from grainfold.plans.registry import query, r, r_half
+from grainfold.session import stored
 from grainfold.sources.readers import read_table
 
 _HOURLY = """(SELECT date_trunc('hour', ts) AS bin, datediff('hour', (SELECT date_trunc('hour', min(ts)) FROM events), date_trunc('hour', ts)) AS idx,
@@ -52,9 +54,16 @@ def acf(spark, sf):
     return ts.acf(_hourly(spark, sf), "idx", "mean", 700).withColumn("acf", r("acf", 6))
 
 
-@query()
+@query(f"""WITH RECURSIVE h AS {_HOURLY}, c AS (SELECT idx, mean - (SELECT avg(mean) FROM h) AS x FROM h),
+  a AS (SELECT k, sum(a.x * b.x) / (SELECT sum(x * x) FROM c) AS r FROM c a, range(1, 701) t(k) JOIN c b ON b.idx = a.idx + k GROUP BY k),
+  r AS MATERIALIZED (SELECT list(r ORDER BY k) AS r, count(*) AS n FROM a),
+  d AS (SELECT 0 AS k, []::DOUBLE[] AS phi, 1.0::DOUBLE AS error, 1.0::DOUBLE AS last
+    UNION ALL
+    SELECT k + 1, list_append(list_transform(range(1, k + 1), lambda i: phi[i] - new * phi[k + 1 - i]), new), error * (1 - new * new), new
+    FROM (SELECT d.*, (r[k + 1] - coalesce(list_sum(list_transform(range(1, k + 1), lambda i: phi[i] * r[k + 1 - i])), 0)) / error AS new FROM d, r WHERE k < n))
+SELECT k::INT AS lag, round(last, 4) AS pacf FROM d""")
 def pacf(spark, sf):
-    return ts.pacf(_hourly(spark, sf), "idx", "mean", 100)
+    return ts.pacf(_hourly(spark, sf), "idx", "mean", 700).withColumn("pacf", r("pacf"))
 
 
 @query(f"""WITH h AS {_HOURLY}, l AS (SELECT a.mean AS y, b.mean AS x FROM h a JOIN h b ON b.idx = a.idx - 1)
@@ -68,6 +77,21 @@ def ar_fit_daily_lags(spark, sf):
     return ts.ar_fit(_hourly(spark, sf), "idx", "mean", 24)
 
 
+@query(f"""WITH h AS {_HOURLY}, k AS (SELECT unnest(range(0, 401)) AS lag),
+  w AS (SELECT idx FROM (SELECT idx, count(*) OVER (ORDER BY idx RANGE BETWEEN 400 PRECEDING AND CURRENT ROW) AS n FROM h) WHERE n = 401)
+SELECT lag, (SELECT count(*) FROM w) AS rows, 0.0 AS residual FROM k""")
+def ar_residuals(spark, sf):
+    """The errors of an autoregression of order 400 are at right angles to every lag and to the constant (lag 0)."""
+    hourly, order = stored(_hourly(spark, sf)), 400
+    fit = {row.term: row.coefficient for row in ts.ar_fit(hourly, "idx", "mean", order).collect()}
+    mean, n, sums, products = ts.ar_equations(hourly, "idx", "mean", order)
+    slope = np.array([fit[f"lag_{h}"] for h in range(1, order + 1)])
+    first = fit["intercept"] - mean * (1 - slope.sum())
+    left = [sums[0] - n * first - slope @ sums[1:], *(products[0, 1:] - first * sums[1:] - slope @ products[1:, 1:])]
+    scale = max(float(products[0, 0]), 1.0)
+    return spark.createDataFrame([(h, n, abs(round(float(v) / scale, 6))) for h, v in enumerate(left)], "lag long, rows long, residual double")
+
+
 @query(f"""WITH h AS {_HOURLY}, g AS (SELECT idx - min(idx) OVER () AS i, max(idx) OVER () - min(idx) OVER () + 1 AS n, mean - avg(mean) OVER () AS x FROM h),
   s AS (SELECT k, sum(x * cos(2 * pi() * ((k * i) % n) / n)) AS re, sum(-x * sin(2 * pi() * ((k * i) % n) / n)) AS im
     FROM g, (SELECT unnest(range(1, (SELECT max(n) FROM g) // 2 + 1)) AS k) GROUP BY k)

@@ -7,7 +7,7 @@ from conftest import SF
 from grainfold.operators import clean, split
 from grainfold.plans import QUERIES
 
-ITERATIVE = {n for n, f in QUERIES.items() if f.__module__.endswith("models")} | {"word2vec", "doc_vectors", "pacf", "ar_fit", "ar_fit_daily_lags"}
+ITERATIVE = {n for n, f in QUERIES.items() if f.__module__.endswith("models")} | {"word2vec", "doc_vectors", "pacf", "ar_fit", "ar_fit_daily_lags", "ar_residuals"}
 
 
 def plan(df):
