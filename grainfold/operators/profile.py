@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from grainfold.operators.ordered import OrderedGroups
-from grainfold.session import stored
+from grainfold.session import discard, stored
 
 
 def completeness(df: DataFrame) -> DataFrame:
@@ -31,35 +34,76 @@ def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFram
     return out.limit(top) if top else out
 
 
+@F.arrow_udf(T.LongType())
+def _order_bits(values: pa.Array) -> pa.Array:
+    """64 bits of each double, as a long that orders as the doubles do; -0.0 is 0.0, NaN the largest."""
+    x = values.to_numpy(zero_copy_only=False) + 0.0
+    bits = np.where(np.isnan(x), np.nan, x).view(np.int64)
+    return pa.array(bits ^ ((bits >> 63) & np.int64((1 << 63) - 1)))
+
+
+@F.arrow_udf(T.DoubleType())
+def _value_of_bits(bits: pa.Array) -> pa.Array:
+    b = bits.to_numpy(zero_copy_only=False)
+    return pa.array((b ^ ((b >> 63) & np.int64((1 << 63) - 1))).view(np.float64))
+
+
+#: Bits that the first and the later histograms tell apart, 64 together.
+_DIGITS = (16, 24, 24)
+
+
 def quantiles(
     df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
 ) -> DataFrame:
     """Exact quantiles per group with linear interpolation: one row per group, columns q25, q50, ...
 
-    Works on value counts and their running total, so no task holds a group's
-    values; Spark's exact ``percentile`` would.
+    Radix histograms: rows are counted by the leading 16 bits of their values, and the bucket that holds a rank is
+    looked at again by the next 24, and once more by the last. Counts are summed in the tasks first; a
+    group has no more than 2 ** 24 buckets for each rank, however many rows, and far fewer in the first pass, which is the only
+    one over all rows beside that which keeps those of the buckets looked for.
     """
-    keys = list(keys)
-    known = df.where(F.col(value).isNotNull())
-    counts = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    cum = OrderedGroups(counts, keys, [value]).running_sum("_cum", F.col("_n")).frame()
-    totals = cum.groupBy(*keys).agg(F.max("_cum").alias("_total"))
-    if keys:
-        totals = totals.select(*[F.col(k).alias(f"_t{i}") for i, k in enumerate(keys)], "_total")
-        on = [F.col(k).eqNullSafe(F.col(f"_t{i}")) for i, k in enumerate(keys)]
-        cum = cum.join(totals, on, "left").select(*keys, value, "_n", "_cum", "_total")
-    else:
-        cum = cum.withColumn("_total", totals.scalar())
-    first = F.col("_cum") - F.col("_n")  # 0-based rank of the value's first copy
-    aggs = []
-    for p in probs:
-        rank = (F.col("_total") - 1) * F.lit(p)
-        low, high = F.floor(rank), F.ceil(rank)
-        at_low = F.max(F.when((first <= low) & (low < F.col("_cum")), F.col(value)))
-        at_high = F.max(F.when((first <= high) & (high < F.col("_cum")), F.col(value)))
-        share = F.max(rank - low)
-        aggs.append((at_low + (at_high - at_low) * share).alias(f"q{100 * p:g}".replace(".", "_")))
-    return cum.groupBy(*keys).agg(*aggs)
+    keys, ranks = list(keys), len(probs) * 2
+    # without keys, all rows are one group under a constant
+    names = [f"_k{i}" for i in range(max(1, len(keys)))]
+    groups = [F.col(k) for k in keys] or [F.lit(0)]
+    rows = df.where(F.col(value).isNotNull()).select(*[k.alias(n) for k, n in zip(groups, names)], _order_bits(F.col(value).cast("double")).alias("_b"))
+
+    def digits(shift: int) -> Column:
+        """The leading bits of a value down to a place."""
+        return F.shiftright("_b", shift)
+
+    def same(left: DataFrame, right: DataFrame, columns: Sequence[str], how: str) -> DataFrame:
+        return left.alias("l").join(right.alias("r"), [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in columns], how)
+
+    def narrowed(counts: DataFrame, wanted: DataFrame, by: Sequence[str]) -> DataFrame:
+        """(names, _t, _r, _at): the bucket of each rank, and the rank inside it. ``counts`` is (by, _d, n), ``wanted`` (by, _t, _r)."""
+        upto = F.sum("n").over(Window.partitionBy(*by).orderBy("_d").rowsBetween(Window.unboundedPreceding, 0))
+        hit = same(counts.withColumn("_upto", upto), wanted, by, "inner").where((F.col("_r") >= F.col("_upto") - F.col("n")) & (F.col("_r") < F.col("_upto")))
+        return stored(hit.select(*[F.col(f"l.{n}") for n in names], "_t", (F.col("_r") - F.col("_upto") + F.col("n")).alias("_r"), F.col("_d").alias("_at")))
+
+    shift = 64 - _DIGITS[0]
+    first = stored(rows.groupBy(*names, digits(shift).alias("_d")).agg(F.count(F.lit(1)).alias("n")))
+    totals = first.groupBy(*names).agg(F.sum("n").alias("_n")).where(F.col("_n").isNotNull())
+    place = F.array(*[(F.col("_n") - 1) * F.lit(float(p)) for p in probs])
+    wanted = totals.select(*names, F.posexplode(F.flatten(F.transform(place, lambda r: F.array(F.floor(r), F.ceil(r))))).alias("_t", "_r"))
+    found = narrowed(first, wanted, names)
+    needed = found.select(*names, "_at").distinct()
+    kept = stored(same(rows.withColumn("_at", digits(shift)), needed, [*names, "_at"], "left_semi").drop("_at"))
+    for bits in _DIGITS[1:]:
+        inside = same(kept.withColumn("_at", digits(shift)), found.select(*names, "_at").distinct(), [*names, "_at"], "left_semi")
+        shift -= bits
+        counts = inside.groupBy(*names, "_at", digits(shift).alias("_d")).agg(F.count(F.lit(1)).alias("n"))
+        wider, found = found, narrowed(counts, found, [*names, "_at"])
+        discard(wider)
+    discard(kept)
+    ends = found.groupBy(*names).pivot("_t", list(range(ranks))).agg(F.first(_value_of_bits(F.col("_at"))))
+    out = same(ends, totals, names, "inner").select(*[F.col(f"l.{n}").alias(k) for n, k in zip(names, keys)], *[F.col(f"`{i}`") for i in range(ranks)], *[p.alias(f"_p{i}") for i, p in enumerate((F.col("_n") - 1) * F.lit(float(q)) for q in probs)])
+    picked = []
+    for i, p in enumerate(probs):
+        low, high, rank = F.col(f"`{2 * i}`"), F.col(f"`{2 * i + 1}`"), F.col(f"_p{i}")
+        share = F.when(low == high, 0.0).otherwise((high - low) * (rank - F.floor(rank)))
+        picked.append((low + share).alias(f"q{100 * p:g}".replace(".", "_")))
+    return out.select(*keys, *picked)
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:

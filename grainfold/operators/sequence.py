@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grainfold.operators.ordered import OrderedGroups
+from grainfold.session import stored
 
 JUMP_LOOK_AHEAD = 4
 
@@ -141,39 +142,45 @@ def halo_blocks(df: DataFrame, index: str, size: int, before: int, after: int) -
 
 
 def _jump_moves(values: np.ndarray, owned: int, last: bool) -> list[tuple]:
-    """(entry, waiting, leave, still, total) for every way to enter one chunk.
+    """(leave, still, total) for every way to enter one chunk, by entry offset and, within it, by waiting or not.
 
     ``values`` holds the chunk's ``owned`` rows and up to four rows of the next;
-    ``leave`` is the offset in the next chunk, or -1 if the scan ends here.
+    ``leave`` is the offset in the next chunk, or -1 if the scan ends here. The next step of every row in either
+    state is found for all rows at once; then steps are doubled until all have left the chunk.
     """
-    vals, n, out = values.tolist(), len(values), []
-    for entry in range(min(JUMP_LOOK_AHEAD + 1, owned)):
-        for waiting in (False, True):
-            at, still, total, done = entry, waiting, 0.0, False
-            while at < owned and not done:
-                window = vals[at:at + JUMP_LOOK_AHEAD + 1]
-                if window[0] >= 0:
-                    total, at, still = total + window[0], at + 1, False
-                    continue
-                good = next((k for k, v in enumerate(window) if v >= 0), None)
-                if good is not None:
-                    at, still = at + good, False
-                elif last and at + JUMP_LOOK_AHEAD + 1 >= n:
-                    done = True
-                else:
-                    skip = 1 if still else 0
-                    best = skip + int(np.argmax(window[skip:]))
-                    total, at, still = total + window[best], at + best, best == 0
-            out.append((entry, waiting, -1 if done else at - owned, still, total))
+    ahead, n = JUMP_LOOK_AHEAD, len(values)
+    at = np.arange(owned)
+    window = np.concatenate([values, np.full(ahead, -np.inf)])[at[:, None] + np.arange(ahead + 1)]
+    here = window[:, 0] >= 0
+    good = np.where((window[:, 1:] >= 0).any(1), (window[:, 1:] >= 0).argmax(1) + 1, 0)
+    ends = ~here & (good == 0) & last & (at + ahead + 1 >= n)
+    # two nodes a row, then those of the rows that a step may land on behind the chunk, then the end
+    end = 2 * (owned + ahead + 1)
+    step, gain = np.arange(end + 1), np.zeros(end + 1)
+    for still in (0, 1):
+        best = still + window[:, still:].argmax(1)
+        to = 2 * (at + best) + (best == 0)
+        won = window[at, best]
+        to = np.where(here, 2 * (at + 1), np.where(good > 0, 2 * (at + good), np.where(ends, end, to)))
+        step[2 * at + still], gain[2 * at + still] = to, np.where(here, window[:, 0], np.where((good > 0) | ends, 0.0, won))
+    while (step[: 2 * owned] < 2 * owned).any():
+        gain, step = gain + gain[step], step[step]
+    out = []
+    for node in range(2 * (ahead + 1)):
+        if node >= 2 * owned:
+            out.append((-1, False, 0.0))
+        else:
+            to = int(step[node])
+            out.append((-1 if to == end else to // 2 - owned, bool(to % 2) and to != end, float(gain[node])))
     return out
 
 
-_MOVES = "array<struct<entry: int, waiting: boolean, leave: int, still: boolean, total: double>>"
+_MOVES = "array<struct<leave: int, still: boolean, total: double>>"
 
 
 def bounded_jump_score(
     df: DataFrame, value: str, keys: Sequence[str], order: Sequence[str],
-    name: str = "score", chunk: int = 10_000
+    name: str = "score", chunk: int = 10_000, fan: int = 64,
 ) -> DataFrame:
     """Total collected by the greedy jump scan over each ordered series.
 
@@ -184,17 +191,18 @@ def bounded_jump_score(
     when no value >= 0 is left inside a look-ahead that reaches the end.
 
     A scan enters a chunk at one of five offsets and in one of two states, so the
-    chunks of a series are worked out independently, for every way to enter them,
-    and then chained: a chunk of any length becomes ten moves.
+    chunks of a series are worked out independently, for every way to enter them: a chunk of any length
+    becomes ten moves. Tables of moves are put together ``fan`` at a time, in as many rounds as the longest series
+    needs, so that no task holds more of them.
     """
     keys = list(keys)
     rows = OrderedGroups(df, keys, order).position("_pos").frame()
     rows = rows.select(*keys, (F.col("_pos") - 1).alias("_pos"), F.col(value).cast("double").alias("_v"))
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    sizes = stored(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size")))
 
     @F.pandas_udf(_MOVES)
     def moves(values: pd.Series, owned: pd.Series, last: pd.Series) -> pd.Series:
-        return pd.Series([_jump_moves(v, int(o), bool(e)) for v, o, e in zip(values, owned, last)])
+        return pd.Series([_jump_moves(np.asarray(v), int(o), bool(e)) for v, o, e in zip(values, owned, last)])
 
     pieces = halo_blocks(rows, "_pos", chunk, 0, JUMP_LOOK_AHEAD).where("block >= 0")
     ordered = F.array_sort(F.collect_list(F.struct("_pos", "_v")))
@@ -205,16 +213,24 @@ def bounded_jump_score(
     tables = pieces.select(
         *keys, "block", moves("_values", "_owned", F.col("_end") == F.col("_size") - 1).alias("moves")
     )
-    # one short table per chunk and series, chained in chunk order
-    steps = F.array_sort(F.collect_list(F.struct("block", "moves")))
-    start = F.struct(F.lit(0).alias("entry"), F.lit(False).alias("waiting"), F.lit(0.0).alias("score"))
-
-    def follow(state, step):
-        move = F.get(F.filter(step["moves"], lambda m: (m["entry"] == state["entry"]) & (m["waiting"] == state["waiting"])), F.lit(0))
-        return F.struct(
-            F.coalesce(move["leave"], F.lit(-1)).alias("entry"),
-            F.coalesce(move["still"], F.lit(False)).alias("waiting"),
-            (state["score"] + F.coalesce(move["total"], F.lit(0.0))).alias("score"),
-        )
-
-    return tables.groupBy(*keys).agg(F.aggregate(steps, start, follow)["score"].alias(name))
+
+    def state(leave: Column, still: Column, total: Column) -> Column:
+        return F.struct(leave.cast("int").alias("leave"), still.alias("still"), total.alias("total"))
+
+    def follow(states: Column, step: Column) -> Column:
+        """Where each way in leads to behind one more chunk."""
+
+        def move(s: Column) -> Column:
+            next_ = F.get(step["moves"], 2 * s["leave"] + s["still"].cast("int"))
+            return F.when(s["leave"] < 0, s).otherwise(state(next_["leave"], next_["still"], s["total"] + next_["total"]))
+
+        return F.transform(states, move)
+
+    entries = F.array(*[state(F.lit(i // 2), F.lit(bool(i % 2)), F.lit(0.0)) for i in range(2 * (JUMP_LOOK_AHEAD + 1))])
+    blocks = -(-(sizes.agg(F.max("_size")).first()[0] or 1) // chunk)
+    while True:
+        steps = F.array_sort(F.collect_list(F.struct("block", "moves")))
+        tables = tables.groupBy(*keys, F.floor(F.col("block") / fan).alias("block")).agg(F.aggregate(steps, entries, follow).alias("moves"))
+        if blocks <= fan:
+            return tables.select(*keys, F.col("moves")[0]["total"].alias(name))
+        blocks = -(-blocks // fan)
