@@ -25,6 +25,13 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, with underlines behind it until no column of ``df`` has it."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name += "_"
+    return name
+
+
 def words(text: Column) -> Column:
     """Array of the words of a text; null gives an empty array."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), BLANKS), lambda w: w != "")

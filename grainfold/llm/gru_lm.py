@@ -9,11 +9,13 @@ every partition at once by truncated backpropagation, and weights are averaged a
 from __future__ import annotations
 
 import heapq
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -330,12 +332,12 @@ def _targets(known: Vocabulary, tokens: np.ndarray) -> tuple[np.ndarray, np.ndar
 def train(texts: DataFrame, known: Vocabulary, weights: np.ndarray) -> np.ndarray:
     """Weights after one round: each task trains a copy on its texts; copies are averaged by their tokens."""
     spark = texts.sparkSession
-    shared = spark.sparkContext.broadcast((known, weights))
+    shared = spark.sparkContext.broadcast(cloudpickle.dumps((known, weights)))
     pieces = 64
     hasher = WordHasher()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, start = shared.value
+        words, start = pickle.loads(shared.value)
         model = Model(words.head_counts, words.total - float(words.head_counts.sum()))
         model.load(start)
         rule = Adam(model)
@@ -387,13 +389,13 @@ def score_texts(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     weights = model.flat()
     for turn in range(ROUNDS if known.total else 0):
         weights = train(training.where(F.pmod("_id", F.lit(SHARE)) == turn), known, weights)
-    shared = spark.sparkContext.broadcast((known, weights))
+    shared = spark.sparkContext.broadcast(cloudpickle.dumps((known, weights)))
     hasher = WordHasher()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        words, learned = shared.value
+        words, learned = pickle.loads(shared.value)
         model = Model(words.head_counts, words.total - float(words.head_counts.sum()))
         model.load(learned)
         log_count = np.log10(words.count + 0.5)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grainfold.llm.common import bounded_batches, mix64
+from grainfold.llm.common import bounded_batches, fresh_name, mix64
 
 #: Characters that one numpy pass holds.
 PIECE_CHARS = 1 << 19
@@ -162,8 +162,9 @@ def predict_language(
     Every whole text of the training rows counts. Null texts, null languages and empty tables:
     see ``count_grams`` and ``identify``. Repeated rows are predicted each. Other columns don't matter.
     """
-    rows = docs.withColumn("_held", held_out(F.col(key)))
-    counts = count_grams(rows.where(~F.col("_held")), F.col(lang), F.col(text), n, buckets)
+    held = fresh_name(docs, "_held")
+    rows = docs.withColumn(held, held_out(F.col(key)))
+    counts = count_grams(rows.where(~F.col(held)), F.col(lang), F.col(text), n, buckets)
     keep = keep or (key,)
-    found = identify(rows, train(counts, buckets), text, n, (*keep, "_held"))
-    return found.select(*keep, F.col("_held").alias("held_out"), "lang_pred", "score")
+    found = identify(rows, train(counts, buckets), text, n, (*keep, held))
+    return found.select(*keep, F.col(held).alias("held_out"), "lang_pred", "score")

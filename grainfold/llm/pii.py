@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from grainfold.llm.common import fresh_name
+
 ROUNDS = 8
 #: Length of an IBAN by country.
 IBAN_LENGTHS = {
@@ -330,8 +332,8 @@ def pseudonymise(docs: DataFrame, secret: str, text: str = "text", undo: bool =
     a date. ``undo`` reverses the replacement with the same ``secret``, except that slashed dates
     may be read in the other order.
 
-    Null texts stay null with 0 pseudonyms, texts without candidates stay the same; all rows and
-    columns are kept, except that a column called ``n_pseudonyms`` is replaced.
+    Null texts stay null with 0 pseudonyms, texts without candidates stay the same; texts of any length are taken whole; all rows, repeated ones
+    too, and all columns are kept, except that a column called ``n_pseudonyms`` is replaced. An empty table stays empty.
     """
     value = F.col(text)
     maybe = F.coalesce(value.rlike("[0-9@]"), F.lit(False))
@@ -340,7 +342,8 @@ def pseudonymise(docs: DataFrame, secret: str, text: str = "text", undo: bool =
         F.sequence(F.lit(0), F.lit(AGAIN)), start,
         lambda pieces, _: F.flatten(F.transform(pieces, lambda p: F.when(p["n"] < 0, _pieces(p["s"], secret, undo)).otherwise(F.array(p)))),
     )
-    rows = docs.withColumn("_pii", F.when(maybe, looked))
-    count = F.coalesce(F.size(F.filter("_pii", lambda p: p["n"] > 0)), F.lit(0)).cast("long")
-    merged = F.array_join(F.transform("_pii", lambda p: p["s"]), "")
-    return rows.withColumn(text, F.when(F.exists("_pii", lambda p: p["n"] > 0), merged).otherwise(value)).withColumn("n_pseudonyms", F.greatest(count, F.lit(0).cast("long"))).drop("_pii")
+    own = fresh_name(docs, "_pii")
+    rows = docs.withColumn(own, F.when(maybe, looked))
+    count = F.coalesce(F.size(F.filter(own, lambda p: p["n"] > 0)), F.lit(0)).cast("long")
+    merged = F.array_join(F.transform(own, lambda p: p["s"]), "")
+    return rows.withColumn(text, F.when(F.exists(own, lambda p: p["n"] > 0), merged).otherwise(value)).withColumn("n_pseudonyms", F.greatest(count, F.lit(0).cast("long"))).drop(own)

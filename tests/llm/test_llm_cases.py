@@ -15,12 +15,12 @@ from grainfold.llm import ann, decontaminate, gru_lm, langid, licences, line_ded
 from grainfold.llm.groups import components
 from grainfold.llm.queries import tokenizer_path
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _id string, n_lines string, score string, size string, n_pseudonyms string"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _id string, n_lines string, score string, size string, n_pseudonyms string, _pii string, _held string"
 PROSE = "the quick brown fox jumps over the lazy dog while seven wise owls watch from a tall old oak tree at night"
 
 
 def documents(spark, rows):
-    return spark.createDataFrame([(i, t, lang, s, None if t is None else len(t), "x", "x", "x", "x", "x") for i, t, lang, s in rows], SCHEMA)
+    return spark.createDataFrame([(i, t, lang, s, None if t is None else len(t), *["x"] * 7) for i, t, lang, s in rows], SCHEMA)
 
 
 @pytest.fixture(scope="module")
@@ -442,3 +442,25 @@ def test_pipeline_stages_match_plain_versions(spark):
     assert near == {i for i in sets if root(i) == i}
     final = corpus_pipeline.run(spark, sf)
     assert {"doc_id", "text", "taken", "copies"} <= set(final.columns) and final.where("copies < 1 OR copies > 2").count() == 0
+
+
+def test_values_of_any_length_end(spark):
+    """An address of 100,000 labels, and other values that go on and on, don't stop a task."""
+    texts = ["a@" + "b." * 100_000 + "bb", "a@" + "b" * 100_000, "4" * 100_000, "1 " * 500, "+1" + " 23" * 3_000, "DE89 " + "3704 " * 2_000, "1." * 50_000, "a." * 50_000 + "@x.org"]
+    docs = documents(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])
+    found = pii.pseudonymise(docs, "k").collect()
+    assert len(found) == len(texts) and all(len(r.text) == len(texts[r.doc_id]) for r in found)
+
+
+def test_shared_models_need_no_package(tmp_path):
+    """What the language model ships to executors can be read where this package can't be imported."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    known = gru_lm.Vocabulary(*[np.zeros(0)] * len(gru_lm.Vocabulary.__dataclass_fields__))
+    (tmp_path / "shared").write_bytes(cloudpickle.dumps((known, np.ones(3))))
+    code = "import pickle; known, w = pickle.load(open('shared', 'rb')); print(type(known).__name__, w.sum())"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={"PYTHONPATH": ""}, capture_output=True, text=True, timeout=120)
+    assert done.stdout.split() == ["Vocabulary", "3.0"], done.stderr
