@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import struct
+import zlib
+
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from grainfold.plans.registry import query
+from grainfold.functions.dates import epoch_seconds
+from grainfold.operators.split import cap_per_class
+from grainfold.plans.registry import query, r
 from grainfold.session import scratch
-from grainfold.sources import readers, writers
+from grainfold.sources import files, readers, writers
 from grainfold.sources.readers import read_table
 
 
@@ -100,3 +105,56 @@ def model_roundtrip(spark, sf):
     out = writers.load_model(path).transform(rows)
     ones = F.aggregate(vector_to_array("hot"), F.lit(0.0), lambda a, x: a + x)
     return out.select("o_orderkey", "code", ones.alias("ones"))
+
+
+@query("SELECT vec_id, len(embedding) AS width, round(list_sum(embedding::DOUBLE[]), 4) AS total FROM embeddings")
+def array_files(spark, sf):
+    """Vectors written as array files and read again in ranges of rows; the key is each row's first value."""
+    path = scratch(spark, "array_files")
+    rows = read_table(spark, sf, "embeddings")
+    files.write_arrays(rows.select(F.concat(F.array(F.col("vec_id").cast("double")), F.col("embedding").cast("array<double>")).alias("v")), "v", path)
+    found = files.read_arrays(spark, path, range_bytes=100_000)
+    rest = F.slice("values", 2, F.size("values") - 1)
+    total = F.aggregate(rest, F.lit(0.0), lambda a, x: a + x)
+    return found.select(F.col("values")[0].cast("long").alias("vec_id"), F.size(rest).cast("long").alias("width"), r(total).alias("total"))
+
+
+@query("""SELECT user_id::VARCHAR AS file_id, epoch_us(ts) / 1e6 AS "start", epoch_us(ts) / 1e6 + value AS "end" FROM events""")
+def json_sidecars(spark, sf):
+    """JSON side files in a folder per user, with a segment for each of up to 1,000 events, read back as segments."""
+    path = scratch(spark, "json_sidecars")
+    at = epoch_seconds(F.col("ts"))
+    segment = F.struct(at.alias("start_time"), (at + F.col("value")).alias("end_time"))
+    sides = read_table(spark, sf, "events").groupBy("user_id", F.floor(F.col("event_id") / 1000).alias("n")).agg(F.collect_list(segment).alias("speech_segments"))
+    body = F.to_json(F.struct("speech_segments")).cast("binary")
+    files.write_files(sides.select(F.concat(F.concat_ws("/", "user_id", "n"), F.lit(".json")).alias("name"), body.alias("content")), path)
+    return readers.json_segments(spark, path, r"([^/]+)/[^/]+\.json$")
+
+
+def _png(red, green, blue):
+    """Column of one-pixel PNG files."""
+
+    @F.udf("binary")
+    def picture(*pixel):
+        def chunk(kind, data):
+            return struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+
+        head = struct.pack(">IIBBBBB", 1, 1, 8, 2, 0, 0, 0)
+        return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(bytes([0, *pixel]))) + chunk(b"IEND", b"")
+
+    return picture(red, green, blue)
+
+
+@query("""SELECT s_nationkey::VARCHAR AS label, count(*) AS n, sum(s_suppkey % 256 * 65536 + s_suppkey // 256 % 256 * 256 + s_nationkey)::BIGINT AS pixels
+FROM (SELECT *, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey || '.png') AS place FROM supplier) WHERE place <= 800 GROUP BY s_nationkey""")
+def image_folders(spark, sf):
+    """A picture per supplier in its nation's folder, read back with labels, at most 800 a label."""
+    path = scratch(spark, "image_folders")
+    key = F.col("s_suppkey")
+    rows = read_table(spark, sf, "supplier").select("s_suppkey", "s_nationkey", _png((key % 256).cast("int"), (F.floor(key / 256) % 256).cast("int"), F.col("s_nationkey").cast("int")).alias("content"))
+    files.write_files(rows.select(F.concat_ws("/", "s_nationkey", F.concat(key.cast("string"), F.lit(".png"))).alias("name"), "content"), path)
+    found = readers.labelled_images(spark, path)
+    kept = cap_per_class(found.withColumn("origin", F.col("image.origin")), "label", "origin", 800)
+    # Spark keeps the bytes of a pixel as blue, green, red
+    byte = [F.conv(F.hex(F.substring("image.data", i, 1)), 16, 10).cast("long") for i in (3, 2, 1)]
+    return kept.groupBy("label").agg(F.count("*").alias("n"), F.sum(byte[0] * 65536 + byte[1] * 256 + byte[2]).alias("pixels"))

@@ -73,10 +73,10 @@ def split_corpus(
     return raw.select(label.alias("label"), F.trim(F.regexp_replace("value", r"^\s+|\s+$", "")).alias("text"))
 
 
-def json_segments(spark: SparkSession, path: str) -> DataFrame:
-    """Segments of JSON side files: (file_id, start, end) in seconds, file_id from the file name."""
-    raw = spark.read.schema(SEGMENT_SCHEMA).json(path, multiLine=True)
-    stem = F.regexp_extract("_metadata.file_path", r"([^/]+)\.json$", 1)
+def json_segments(spark: SparkSession, path: str, id_pattern: str = r"([^/]+)\.json$") -> DataFrame:
+    """Segments of JSON side files: (file_id, start, end) in seconds, file_id from the file path."""
+    raw = spark.read.schema(SEGMENT_SCHEMA).option("recursiveFileLookup", True).json(path, multiLine=True)
+    stem = F.regexp_extract("_metadata.file_path", id_pattern, 1)
     return raw.select(stem.alias("file_id"), F.inline("speech_segments")).toDF("file_id", "start", "end")
 
 
