@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Lists of the tables written since each open ``passing_tables`` began.
+_PASSING: ContextVar[tuple[list[DataFrame], ...]] = ContextVar("passing", default=())
+
 
 def local_session(cpus: int | str = "*", app: str = "grainfold") -> SparkSession:
     """A local session with the settings the tests and the bench use."""
@@ -67,9 +73,34 @@ def stored(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._stored_at = path
+    for held in _PASSING.get():
+        held.append(out)
     return out
 
 
+@contextmanager
+def passing_tables() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables that ``stored`` writes inside are removed at the end, but for those given to the function that this yields.
+
+    What is returned from inside must read no others, or be stored itself.
+    """
+    made: list[DataFrame] = []
+    kept: list[DataFrame] = []
+
+    def keep(table: DataFrame) -> DataFrame:
+        kept.append(table)
+        return table
+
+    token = _PASSING.set((*_PASSING.get(), made))
+    try:
+        yield keep
+    finally:
+        _PASSING.reset(token)
+        for table in made:
+            if not any(table is k for k in kept):
+                discard(table)
+
+
 def discard(table: DataFrame) -> None:
     """Remove a table that ``stored`` wrote, once nothing is going to read it any more."""
     spark = table.sparkSession
