@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grainfold.llm.common import bound, packed, row_identity, settled_broadcast
-from grainfold.session import stored
+from grainfold.session import passing_tables, stored
 
 SHINGLE_WORDS = 5
 #: Similarity 4/5 as whole numbers.
@@ -111,7 +111,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: s
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``docs`` without the rows in which ``find_leaks`` finds an item; all columns are kept."""
-    found = stored(_matches(docs, benchmark, text, key, "text", "item_id").select("_id", "_tx").distinct())
+    with passing_tables() as keep:
+        found = keep(stored(_matches(docs, benchmark, text, key, "text", "item_id").select("_id", "_tx").distinct()))
     return packed(docs, key, text).join(settled_broadcast(found, 16), ["_id", "_tx"], "left_anti").select("_doc.*")
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from grainfold.llm.common import WordHasher, bounded_batches, mix64, packed, row_identity, settled_broadcast, shingle_hashes
 from grainfold.llm.groups import components
-from grainfold.session import stored
+from grainfold.session import discard, passing_tables, stored
 
 #: Coordinates of the points that are compared, and finer ones of which only the parity of the count is kept.
 GROUPS, PARITIES = 64, 256
@@ -218,6 +218,8 @@ class _Join:
         weight = stored(inside.join(sizes, "page").groupBy("id").agg(F.sum("size").alias("weight")))
         hubs = inside.join(weight, "id").groupBy("page").agg(F.max(F.struct("weight", "id")).alias("h")).select("page", F.col("h.id").alias("hub"))
         placed = stored(inside.join(hubs, "page").where("id <> hub"))
+        for table in (shared, weight, inside):
+            discard(table)
         stars = stored(placed.select("id", F.col("hub").alias("id_2")).distinct())
         linked = stored(self.verified(self._possible(stars)))
 
@@ -281,13 +283,15 @@ def join_groups(docs: DataFrame, width: int = 4, similar: Fraction = Fraction(85
     each give a row; an empty table gives an empty result; other columns don't matter.
     """
     rows = row_identity(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), "key", "text")
-    run = _Join(rows, width, similar)
-    labels = components(run.links())
-    keys = run.members.where("n > 0").groupBy("node").agg(F.min("key").alias("least"))
-    named = keys.join(labels, "node", "left").withColumn("group", F.coalesce("label", "node"))
-    named = stored(named.select("node", "group", "least"))
-    least = named.groupBy("group").agg(F.min("least").alias("component_id"))
-    places = stored(named.join(least, "group").select("node", "group", "component_id"))
+    with passing_tables() as keep:
+        run = _Join(rows, width, similar)
+        keep(run.members)
+        labels = components(run.links())
+        keys = run.members.where("n > 0").groupBy("node").agg(F.min("key").alias("least"))
+        named = keys.join(labels, "node", "left").withColumn("group", F.coalesce("label", "node"))
+        named = stored(named.select("node", "group", "least"))
+        least = named.groupBy("group").agg(F.min("least").alias("component_id"))
+        places = keep(stored(named.join(least, "group").select("node", "group", "component_id")))
     found = run.members.join(places, F.when(F.col("n") > 0, run.members["node"]) == places["node"], "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("key"))
     return found.select(F.col("key").alias(key), "_id", "_tx", F.col("n").alias("n_shingles"), component.alias("component_id"), "group")
@@ -298,7 +302,8 @@ def keep_one(docs: DataFrame, width: int = 5, similar: Fraction = Fraction(4, 5)
 
     Of rows that agree in key and text, one stays. Documents without words all stay. All columns are kept.
     """
-    groups = stored(join_groups(docs, width, similar, text, key))
+    with passing_tables() as keep:
+        groups = keep(stored(join_groups(docs, width, similar, text, key)))
     grouped = groups.where(F.col("group").isNotNull())
     order = F.struct(F.col(key).isNull(), F.col(key), F.col("_tx"), F.col("_id")).alias("o")
     first = grouped.groupBy("group").agg(F.min(order).alias("first"))
