@@ -11,8 +11,8 @@ from grainfold.session import passing_tables, stored
 SHINGLE_WORDS = 5
 #: Similarity 4/5 as whole numbers.
 SIMILAR = (4, 5)
-#: Two multisets of similarity 0.8 differ in about 10 of 64 bits, with a deviation of 3; 20 is more than three deviations off.
-RADIUS = 20
+#: Two multisets of similarity 0.8 differ in about 10 of 64 bits, with a deviation of 3; 26 is more than five deviations off.
+RADIUS = 26
 
 
 def plain_words(text: Column) -> Column:
@@ -60,31 +60,37 @@ def _matches(docs: DataFrame, benchmark: DataFrame, text: str, key: str, item_te
         .where(F.size("_h") > 0)
         .select("item_id", "_h", F.xxhash64("item_id", "_h").alias("_item"), F.size("_h").alias("_m"), fingerprint(F.col("_h")).alias("_bits"), occurrences(F.col("_h")).alias("_tags"))
     )
-    anchors = stored(items.select(F.posexplode("_h").alias("_j", "_hash"), "_m").distinct())
+    anchors = stored(items.select(F.explode(F.array_distinct("_h")).alias("_hash"), "_item", "_m"))
     rows = row_identity(docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")), "_key", "_text")
 
-    # A window without any shingle of an item has similarity 0 to it: windows start where a shared shingle puts the item's start.
+    # A similar window holds at least so many places with shingles of the item. Moved on to the next such place, or to the end of the
+    # text, a window loses none of them, so the best similarity is among the windows that begin there.
     placed = rows.withColumn("_h", shingles(plain_words(F.col("_text")))).select("_id", "_tx", F.size("_h").alias("_n"), F.posexplode("_h").alias("_p", "_hash"))
-    start = F.greatest(F.lit(0), F.least(F.col("_p") - F.col("_j"), F.col("_n") - F.col("_m")))
-    starts = placed.join(settled_broadcast(anchors, 32), "_hash").select("_id", "_tx", start.alias("_start"), "_m").distinct()
-    starts = stored(starts.groupBy("_id", "_tx").agg(F.collect_list(F.struct("_start", "_m")).alias("_windows"), F.count(F.lit(1)).alias("_count")))
-    width = starts.agg(F.sum(F.col("_count") * 16 + 48)).collect()[0][0] or 0
+    shared = placed.join(settled_broadcast(anchors, 32), "_hash").groupBy("_id", "_tx", "_item", "_n", "_m").agg(F.sort_array(F.collect_set("_p")).alias("_places"))
+    need = F.ceil(SIMILAR[0] * (F.least("_n", "_m") + F.col("_m")) / (SIMILAR[0] + SIMILAR[1])).cast("int")
+    shared = shared.withColumn("_need", need).where(F.size("_places") >= F.col("_need"))
+    last = F.greatest(F.lit(0), F.col("_n") - F.col("_m"))
+    starts = F.transform("_places", lambda p, i: F.when((p < last) & (F.get("_places", i + F.col("_need") - 1) < p + F.col("_m")), p))
+    starts = shared.select("_id", "_tx", F.explode(F.concat(F.array_compact(starts), F.array(last))).alias("_start"), "_m", "_item")
+    starts = stored(starts.groupBy("_id", "_tx").agg(F.collect_list(F.struct("_start", "_m", "_item")).alias("_windows"), F.count(F.lit(1)).alias("_count")))
+    width = starts.agg(F.sum(F.col("_count") * 24 + 48)).collect()[0][0] or 0
     near = F.broadcast(starts) if width <= 32 << 20 else starts
 
     hit = rows.join(near, ["_id", "_tx"]).withColumn("_h", shingles(plain_words(F.col("_text")))).select("_id", "_tx", "_key", "_h", F.explode("_windows").alias("_w"))
-    windows = hit.select("_id", "_tx", "_key", F.col("_w._start").alias("_start"), F.col("_w._m").alias("_m"), F.slice("_h", F.col("_w._start") + 1, F.col("_w._m")).alias("_h"))
+    windows = hit.select("_id", "_tx", "_key", F.col("_w._start").alias("_start"), F.col("_w._item").alias("_item"), F.slice("_h", F.col("_w._start") + 1, F.col("_w._m")).alias("_h"))
     windows = stored(
-        windows.dropDuplicates(["_id", "_tx", "_start", "_m"]).select(
-            "_id", "_tx", "_key", "_start", "_m", fingerprint(F.col("_h")).alias("_bits"), occurrences(F.col("_h")).alias("_tags")
+        windows.dropDuplicates(["_id", "_tx", "_start", "_item"]).select(
+            "_id", "_tx", "_key", "_start", "_item", fingerprint(F.col("_h")).alias("_bits"), occurrences(F.col("_h")).alias("_tags")
         )
     )
-    left = windows.select("_id", "_tx", "_start", "_m", "_bits", F.explode(blocks(F.col("_bits"))).alias("_block"))
-    right = items.select("_item", "_m", F.col("_bits").alias("_item_bits"), F.explode(blocks(F.col("_bits"))).alias("_block"))
+    # a window meets the items whose shingles it holds, in the blocks that agree
+    left = windows.select("_id", "_tx", "_start", "_item", "_bits", F.explode(blocks(F.col("_bits"))).alias("_block"))
+    right = items.select("_item", F.col("_bits").alias("_item_bits"), F.explode(blocks(F.col("_bits"))).alias("_block"))
     right = settled_broadcast(stored(right), 64)
     within = F.bit_count(F.col("_bits").bitwiseXOR(F.col("_item_bits"))) <= RADIUS
-    pairs = left.join(right, ["_m", "_block"]).where(within).select("_id", "_tx", "_start", "_m", "_item").distinct()
+    pairs = left.join(right, ["_item", "_block"]).where(within).select("_id", "_tx", "_start", "_item").distinct()
 
-    both = pairs.join(windows.drop("_bits"), ["_id", "_tx", "_start", "_m"]).join(items.select("_item", "item_id", F.col("_tags").alias("_item_tags")), "_item")
+    both = pairs.join(windows.drop("_bits"), ["_id", "_tx", "_start", "_item"]).join(items.select("_item", "item_id", F.col("_tags").alias("_item_tags")), "_item")
     shared = F.size(F.array_intersect("_tags", "_item_tags"))
     union = F.size("_tags") + F.size("_item_tags") - shared
     good = both.select("_id", "_tx", "_key", "item_id", "_start", shared.alias("_shared"), union.alias("_union")).where(F.col("_shared") * SIMILAR[1] >= F.col("_union") * SIMILAR[0])
@@ -97,9 +103,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: s
 
     Words are runs of letters and digits in lower case. A window has as many words as the item;
     its shingles (five words) are counted with their multiplicity, and its similarity is the sum of smaller
-    counts over the sum of larger ones. Windows at every place where they share a shingle with an item are
-    fingerprinted; fingerprints within ``RADIUS`` bits, all of which meet in an equal block, are verified.
-    Given is the best window, the first if several are best, numbered by its first word from 0.
+    counts over the sum of larger ones. Of all windows with as many shingles of an item as that similarity needs, those that
+    begin on one, and the last of the text, are fingerprinted; fingerprints within ``RADIUS`` bits of the item's, all of which meet in an equal block, are verified.
+    No other window is better. Given is the best of these, the first if several are best, numbered by its first word from 0.
     A document shorter than an item is one window.
 
     Null or short texts (fewer than five words) match nothing, on either side. Rows that agree in
@@ -116,17 +122,19 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: s
     return packed(docs, key, text).join(settled_broadcast(found, 16), ["_id", "_tx"], "left_anti").select("_doc.*")
 
 
-#: The same rows in DuckDB.
+#: The same rows in DuckDB, from every window of every document that holds enough of an item's shingles.
 LEAKS_SQL = r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents),
 sh AS (SELECT doc_id, len(w) - 4 AS n, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS s, unnest(range(0, len(w) - 4)) AS p FROM w WHERE len(w) > 4),
 iw AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM benchmark),
 ish AS (SELECT item_id, len(w) - 4 AS m, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS s, unnest(range(0, len(w) - 4)) AS j FROM iw WHERE len(w) > 4),
-wins AS (SELECT DISTINCT doc_id, item_id, greatest(0, least(p - j, n - m)) AS st, m FROM sh JOIN ish USING (s)),
-wc AS (SELECT doc_id, item_id, st, m, s, count(*) AS c FROM wins JOIN sh USING (doc_id) WHERE p >= st AND p < st + m GROUP BY ALL),
-ic AS (SELECT item_id, s, count(*) AS c FROM ish GROUP BY ALL),
-sums AS (SELECT doc_id, item_id, st, m, sum(wc.c) AS total, sum(least(wc.c, coalesce(ic.c, 0))) AS shared FROM wc LEFT JOIN ic USING (item_id, s) GROUP BY ALL),
+ic AS (SELECT item_id, m, s, count(*) AS c FROM ish GROUP BY ALL),
+sp AS MATERIALIZED (SELECT doc_id, item_id, n, m, p, s, c FROM sh JOIN ic USING (s)),
+cand AS (SELECT doc_id, item_id, n, m FROM sp GROUP BY ALL HAVING 9 * count(*) >= 4 * (least(n, m) + m)),
+wins AS (SELECT *, unnest(range(0, greatest(n - m, 0) + 1)) AS st FROM cand),
+wc AS (SELECT w.doc_id, w.item_id, w.n, w.m, st, s, least(count(*), any_value(c)) AS c FROM wins w JOIN sp ON sp.doc_id = w.doc_id AND sp.item_id = w.item_id AND p >= st AND p < st + w.m GROUP BY ALL),
+sums AS (SELECT doc_id, item_id, st, m, least(n, m) AS total, greatest(n - m, 0) AS last, sum(c) AS shared FROM wc GROUP BY ALL),
 good AS (SELECT *, shared / (total + m - shared) AS sim FROM sums WHERE 5 * shared >= 4 * (total + m - shared)),
-best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY sim DESC, st) AS r FROM good)
+best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY sim DESC, st < last AND (doc_id, item_id, st) NOT IN (SELECT doc_id, item_id, p FROM sp), st) AS r FROM good)
 SELECT doc_id, item_id, CAST(sim AS DOUBLE) AS similarity, CAST(st AS BIGINT) AS start_word FROM best WHERE r = 1
 """

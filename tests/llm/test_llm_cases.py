@@ -192,6 +192,49 @@ def test_leaks_with_an_edit(spark):
     assert (row.doc_id, row.item_id, row.start_word) == (1, 9, 1) and row.similarity == (n - 1) / (n + 1)
 
 
+def test_leaks_against_every_window(spark):
+    """Swapped halves, repeats, cuts and neighbours: the best similarity of all windows, at its first place that begins on the item's words or ends the text."""
+    rng = np.random.default_rng(8)
+    item = [f"w{i}" for i in range(60)]
+    noise = lambda n: [f"x{rng.integers(0, 10**6)}" for _ in range(n)]
+    twice = ["a", "b", "c", "d", "e", "f"] * 6
+    texts = [
+        noise(80) + item[30:] + item[:30] + noise(80),
+        noise(2) + item + noise(3),
+        noise(1) + item[3:] + item[:3] + item + noise(7),
+        item[:55],
+        noise(20) + item[:28] + noise(1) + item[29:] + noise(20) + item,
+        noise(5) + twice + twice[:5] + noise(5),
+        item[::-1],
+        noise(30) + item[10:50] + noise(30),
+    ]
+    docs = documents(spark, [(i, " ".join(t), "en", "a") for i, t in enumerate(texts)])
+    items = {1: item, 2: twice, 3: item[5:45] + item[:20]}
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], BENCH)
+
+    def bag(words):
+        out = defaultdict(int)
+        for k in range(len(words) - 4):
+            out[tuple(words[k : k + 5])] += 1
+        return out
+
+    want = {}
+    for i, words in enumerate(texts):
+        for number, target in items.items():
+            b, size = bag(target), len(target)
+            good, last = [], max(0, len(words) - size)
+            for start in range(last + 1):
+                a = bag(words[start : start + size])
+                low, high = sum(min(a[s], b[s]) for s in set(a) | set(b)), sum(max(a[s], b[s]) for s in set(a) | set(b))
+                if 5 * low >= 4 * high:
+                    good.append((-low / high, start < last and tuple(words[start : start + 5]) not in b, start))
+            if good:
+                want[i, number] = -min(good)[0], min(good)[2]
+                assert not min(good)[1]
+    found = {(r.doc_id, r.item_id): (r.similarity, r.start_word) for r in decontaminate.find_leaks(docs, bench).collect()}
+    assert found == want and (0, 1) in want and len(want) >= 6
+
+
 def test_fingerprint_blocks_meet(spark):
     """Any two fingerprints within the radius share a block."""
     rng = np.random.default_rng(5)
