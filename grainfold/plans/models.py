@@ -145,7 +145,7 @@ def grid_search(spark, sf):
 def tree_sweep(spark, sf):
     train, _, test = _parts(_prices(spark, sf))
     score = lambda scored: evaluate.regression_report(scored, "label", "prediction").select("mse", "rmse")
-    return learn.tree_count_sweep(lambda n: learn.forest_regressor(trees=n), [5, 10, 20], train, test, score)
+    return learn.tree_count_sweep(lambda n: learn.forest_regressor(trees=n), [10, 20, 50, 100, 150], train, test, score)
 
 
 @query()
@@ -212,7 +212,7 @@ def _counts(spark, sf, size=1000):
 @query()
 def topic_terms(spark, sf):
     rows, vocabulary = _counts(spark, sf)
-    return cluster.topic_terms(cluster.lda_topics(rows, k=10), vocabulary, 20)
+    return cluster.topic_terms(cluster.lda_topics(rows, k=50), vocabulary, 20)
 
 
 @query()
@@ -227,5 +227,5 @@ def nmf_topics(spark, sf):
     weights = terms.tfidf(docs, "doc_id", "text", t.LETTERS, min_df=5, max_df=0.8, max_features=1000)
     vocabulary = sorted(r[0] for r in weights.select("term").distinct().collect())
     rows = cluster.sparse_rows(weights, "doc_id", "term", "tfidf", vocabulary)
-    factors, _ = cluster.nmf_topics(rows, len(vocabulary), k=10, max_iter=10)
+    factors, _ = cluster.nmf_topics(rows, len(vocabulary))
     return cluster.factor_terms(factors, vocabulary, 20, spark)
