@@ -7,7 +7,8 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from grainfold.operators import fourier
@@ -65,6 +66,49 @@ def template_fit(
     )
 
 
+def _kernel(df: DataFrame, x: str, y: str) -> tuple[DataFrame, Row, np.ndarray]:
+    """Points without nulls, their moments, and the covariance of the kernel: that of the points times Scott's n^(-1/3)."""
+    points = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()
+    m = points.agg(
+        F.count("x").alias("n"), F.min("x").alias("x0"), F.max("x").alias("x1"),
+        F.min("y").alias("y0"), F.max("y").alias("y1"),
+        F.var_samp("x").alias("vx"), F.var_samp("y").alias("vy"), F.covar_samp("x", "y").alias("vxy"),
+    ).first()
+    return points, m, np.array([[m.vx, m.vxy], [m.vxy, m.vy]]) * m.n ** (-2 / 6)
+
+
+def kde_binned(df: DataFrame, x: str, y: str, cells: int = 200, fine: int = 4) -> DataFrame:
+    """What ``kde_grid`` gives, from points that are first dealt to the nodes of a grid ``fine`` times as close.
+
+    A point weighs on the four nodes around it as near as it is to each; the weights, whose number is bounded by the grid, are
+    convolved with the rotated kernel by a Fourier transform. The cost is points + nodes log nodes. With nodes
+    ``h`` kernel deviations apart the error is at most about h * h / 8 in each direction, in shares of the largest density: below 1e-4
+    for 200 cells and tens of thousands of points; for many more points, whose kernel is narrower, raise ``fine``.
+    """
+    points, m, cov = _kernel(df, x, y)
+    nodes = (cells - 1) * fine + 1
+    step = np.array([m.x1 - m.x0, m.y1 - m.y0]) / (nodes - 1)
+    a, b = ((F.col(c) - F.lit(lo)) / F.lit(float(s)) for c, lo, s in (("x", m.x0, step[0]), ("y", m.y0, step[1])))
+    i, j = (F.least(F.floor(v), F.lit(nodes - 2)) for v in (a, b))
+    corners = F.array(*[
+        F.struct((i + di).alias("i"), (j + dj).alias("j"), ((a - i if di else 1 - (a - i)) * (b - j if dj else 1 - (b - j))).alias("w")) for di in (0, 1) for dj in (0, 1)
+    ])
+    weights = points.select(F.inline(corners)).groupBy("i", "j").agg(F.sum("w").alias("w")).toArrow()
+    grid = np.zeros((nodes, nodes))
+    grid[weights.column("i").to_numpy(), weights.column("j").to_numpy()] = weights.column("w").to_numpy()
+    away = np.arange(-nodes + 1, nodes)
+    inv = np.linalg.inv(cov)
+    dx, dy = away[:, None] * step[0], away[None] * step[1]
+    kernel = np.exp(-0.5 * (inv[0, 0] * dx * dx + 2 * inv[0, 1] * dx * dy + inv[1, 1] * dy * dy))
+    # what wraps around at this size lies outside the part that is kept
+    size = (2 * nodes,) * 2
+    whole = np.fft.irfft2(np.fft.rfft2(grid, size) * np.fft.rfft2(kernel, size), size)[nodes - 1 : 2 * nodes - 1, nodes - 1 : 2 * nodes - 1]
+    density = np.maximum(whole[::fine, ::fine], 0) / (m.n * 2 * math.pi * math.sqrt(np.linalg.det(cov)))
+    at = np.arange(cells)
+    columns = {"i": np.repeat(at, cells), "j": np.tile(at, cells), "x": np.repeat(m.x0 + at * (m.x1 - m.x0) / (cells - 1), cells), "y": np.tile(m.y0 + at * (m.y1 - m.y0) / (cells - 1), cells), "density": density.ravel()}
+    return df.sparkSession.createDataFrame(pa.table(columns))
+
+
 def kde_grid(df: DataFrame, x: str, y: str, cells: int = 200) -> DataFrame:
     """Gaussian kernel density of (x, y) on a cells x cells grid over the data range.
 
@@ -72,14 +116,7 @@ def kde_grid(df: DataFrame, x: str, y: str, cells: int = 200) -> DataFrame:
     row of moments. In the second each task adds its points up on the grid, which
     is bounded by ``cells``; points are never shuffled or paired with each other.
     """
-    points = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()
-    m = points.agg(
-        F.count("x").alias("n"), F.min("x").alias("x0"), F.max("x").alias("x1"),
-        F.min("y").alias("y0"), F.max("y").alias("y1"),
-        F.var_samp("x").alias("vx"), F.var_samp("y").alias("vy"), F.covar_samp("x", "y").alias("vxy"),
-    ).first()
-    factor = m.n ** (-2 / 6)
-    cov = np.array([[m.vx, m.vxy], [m.vxy, m.vy]]) * factor
+    points, m, cov = _kernel(df, x, y)
     inv = np.linalg.inv(cov)
     # whitening turns the Mahalanobis distance into a plain one
     white = np.linalg.cholesky(inv).T

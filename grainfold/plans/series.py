@@ -144,6 +144,24 @@ def kde_grid(spark, sf):
     return out.select("i", "j", r(F.col("density") * 1e9).alias("density"))
 
 
+_EVENTS = """SELECT epoch_us(ts) / 1e6 AS x, value AS y FROM events"""
+
+
+@query(f"""WITH p AS ({_EVENTS}),
+  m AS (SELECT count(*) AS n, min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1, pow(count(*), -1.0 / 3) AS f2,
+    var_samp(x) AS vx, var_samp(y) AS vy, covar_samp(x, y) AS vxy FROM p),
+  g AS (SELECT i, j, x0 + i * (x1 - x0) / 199 AS gx, y0 + j * (y1 - y0) / 199 AS gy FROM m, range(0, 200, 20) a(i), range(0, 200, 20) b(j)),
+  d AS (SELECT i, j, sum(exp(-0.5 * ((gx - x) ** 2 * vy - 2 * (gx - x) * (gy - y) * vxy + (gy - y) ** 2 * vx) / (f2 * (vx * vy - vxy * vxy))))
+    / any_value(n * 2 * pi() * f2 * sqrt(vx * vy - vxy * vxy)) AS density FROM g, p, m GROUP BY i, j)
+SELECT i, j, round(density / (SELECT max(density) FROM d), 2) AS share FROM d""")
+def kde_fine(spark, sf):
+    """Density of all events on 200 x 200 cells, of which every twentieth a side is given, in shares of the largest of them (the SQL twin adds up all kernels)."""
+    t = read_table(spark, sf, "events").select(epoch_seconds(F.col("ts")).alias("t"), "value")
+    cells = stored(signals.kde_binned(t, "t", "value", 200, fine=10).where("i % 20 = 0 AND j % 20 = 0"))
+    top = cells.agg(F.max("density")).first()[0]
+    return cells.select("i", "j", r(F.col("density") / top, 2).alias("share"))
+
+
 def _minute_signal(spark, sf):
     """Mean value per event type and ten minutes, as samples (event_type, idx, value)."""
     slot = F.floor((epoch_seconds(F.col("ts")) - 1704067200) / 600)

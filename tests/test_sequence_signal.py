@@ -190,3 +190,15 @@ def test_spectrum_of_a_series_with_gaps(spark):
     rows = [(t + 1000, 5.0 + math.sin(2 * math.pi * 30 * t / 720)) for t in range(720) if t % 7 or t in (0, 719)]
     bins = signals.periodogram(spark.createDataFrame(rows, "i long, x double"), "i", "x")
     assert bins.count() == 360 and signals.dominant_bin(bins).first().k == 30
+
+
+@pytest.mark.parametrize("n", [50, 3000])
+def test_binned_density_is_near_the_sums(spark, n):
+    rng = np.random.default_rng(n)
+    points = rng.normal(size=(n, 2)) @ np.array([[1.0, 0.7], [0.0, 30.0]]) + [1e9, 5]
+    df = spark.createDataFrame([*((float(a), float(b)) for a, b in points), (None, 1.0)], "a double, b double")
+    exact = signals.kde_grid(df, "a", "b", 40).orderBy("i", "j").collect()
+    found = signals.kde_binned(df, "a", "b", 40, fine=20).orderBy("i", "j").collect()
+    assert [(r.i, r.j) for r in found] == [(r.i, r.j) for r in exact] and np.allclose([r.x for r in found], [r.x for r in exact])
+    want = np.array([r.density for r in exact])
+    assert np.abs(np.array([r.density for r in found]) - want).max() <= 1e-4 * want.max()
