@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from grainfold.functions.dates import calendar_parts
 from grainfold.operators import encode, evaluate, learn, profile, split
 
+# fixed values: columns of the rental table, and those that the job adds
 TIME_FACTORS = ["year", "season", "month", "day", "hour", "holiday", "workingday"]
 WEATHER_FACTORS = ["weather", "temp", "atemp", "atempdiff", "humidity", "windspeed"]
 COUNTS = ["casual", "registered", "count"]
@@ -29,6 +30,7 @@ def demand_profile(rentals: DataFrame) -> DataFrame:
 
 
 def correlations(rentals: DataFrame) -> DataFrame:
+    # fixed values: columns of the rental table
     columns = ["temp", "atemp", "casual", "registered", "humidity", "windspeed", "count", "atempdiff"]
     return profile.corr_matrix(prepare(rentals), columns)
 
@@ -36,6 +38,7 @@ def correlations(rentals: DataFrame) -> DataFrame:
 def demand_forest(rentals: DataFrame, trees: int = 200) -> tuple[Model, DataFrame, DataFrame]:
     """Forest on the count, its error on test and validation rows, and feature importances."""
     rows = prepare(rentals).withColumn("label", F.col("count").cast("double"))
+    # fixed values: columns that no forest may see
     hidden = ["datetime", "temp", "casual", "registered", "count", "label"]
     names = encode.feature_columns(rows, hidden)
     rows = split.hash_split(encode.assemble(rows, hidden), "datetime", {"train": 70, "valid": 15, "test": 15})
