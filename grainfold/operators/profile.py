@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from grainfold.operators.ordered import OrderedGroups
 from grainfold.session import discard, stored
 
 
