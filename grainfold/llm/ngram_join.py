@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from grainfold.llm.common import WordHasher, bounded_batches, mix64, packed, row_identity, settled_broadcast, shingle_hashes
 from grainfold.llm.groups import components
-from grainfold.session import discard, passing_tables, stored
+from grainfold.session import discard, passing_tables, release, stored
 
 #: Coordinates of the points that are compared, and finer ones of which only the parity of the count is kept.
 GROUPS, PARITIES = 64, 256
@@ -212,14 +212,19 @@ class _Join:
         """
         met = self._pages().groupBy("page").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
         shared = stored(met.where("lo <> hi").select("page"))
+        del met
+        release(shared.sparkSession)
         # shared pages grow with the input: no broadcast is asked for, so the way is the same at every size
         inside = stored(self._pages().join(shared, "page").distinct())
+        release(inside.sparkSession)
         sizes = inside.groupBy("page").agg(F.count(F.lit(1)).alias("size"))
         weight = stored(inside.join(sizes, "page").groupBy("id").agg(F.sum("size").alias("weight")))
         hubs = inside.join(weight, "id").groupBy("page").agg(F.max(F.struct("weight", "id")).alias("h")).select("page", F.col("h.id").alias("hub"))
         placed = stored(inside.join(hubs, "page").where("id <> hub"))
+        del sizes, hubs
         for table in (shared, weight, inside):
             discard(table)
+        release(placed.sparkSession)
         stars = stored(placed.select("id", F.col("hub").alias("id_2")).distinct())
         linked = stored(self.verified(self._possible(stars)))
 
