@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -97,20 +96,9 @@ def passing_tables() -> Iterator[Callable[[DataFrame], DataFrame]]:
         yield keep
     finally:
         _PASSING.reset(token)
-        gone = [t for t in made if not any(t is k for k in kept)]
-        for table in gone:
-            discard(table)
-        if gone:
-            release(gone[0].sparkSession)
-
-
-def release(spark: SparkSession) -> None:
-    """Let Spark remove the shuffle files of plans that nobody holds any more.
-
-    It does so when the driver's garbage collector finds them, which is by default only asked to every half hour.
-    """
-    gc.collect()
-    spark._jvm.System.gc()
+        for table in made:
+            if not any(table is k for k in kept):
+                discard(table)
 
 
 def discard(table: DataFrame) -> None:
