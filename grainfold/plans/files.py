@@ -11,6 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from grainfold.functions.dates import epoch_seconds
+from grainfold.operators.ordered import OrderedGroups
 from grainfold.operators.split import cap_per_class
 from grainfold.plans.registry import query, r
 from grainfold.session import scratch
@@ -125,7 +126,9 @@ def json_sidecars(spark, sf):
     path = scratch(spark, "json_sidecars")
     at = epoch_seconds(F.col("ts"))
     segment = F.struct(at.alias("start_time"), (at + F.col("value")).alias("end_time"))
-    sides = read_table(spark, sf, "events").groupBy("user_id", F.floor(F.col("event_id") / 1000).alias("n")).agg(F.collect_list(segment).alias("speech_segments"))
+    # numbered inside the user, so that a file has 1,000 events wherever there are so many, however the ids are spread
+    rows = OrderedGroups(read_table(spark, sf, "events").select("event_id", "user_id", "ts", "value"), ["user_id"], ["event_id"]).position("_pos").frame()
+    sides = rows.groupBy("user_id", F.floor((F.col("_pos") - 1) / 1000).alias("n")).agg(F.collect_list(segment).alias("speech_segments"))
     body = F.to_json(F.struct("speech_segments")).cast("binary")
     files.write_files(sides.select(F.concat(F.concat_ws("/", "user_id", "n"), F.lit(".json")).alias("name"), body.alias("content")), path)
     return readers.json_segments(spark, path, r"([^/]+)/[^/]+\.json$")

@@ -6,6 +6,7 @@ Register them with ``register(spark)``; paths may lie in any store that pyarrow
 from __future__ import annotations
 
 import io
+import json
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -112,7 +113,9 @@ class ArrayFiles(DataSource):
 
 @dataclass
 class Written(WriterCommitMessage):
-    names: list[tuple[str, str]]
+    """Where a task's list of (held, name) lies; the names themselves, however many, don't pass through the driver's memory together."""
+
+    names: str
 
 
 class FileWriter(DataSourceArrowWriter):
@@ -124,22 +127,33 @@ class FileWriter(DataSourceArrowWriter):
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         store, path = _open(self.path)
-        names: list[tuple[str, str]] = []
-        store.create_dir(f"{path}/_temporary/{self.job}", recursive=True)
-        for batch in iterator:
-            for name, content in zip(batch.column("name").to_pylist(), batch.column("content")):
-                held = f"{path}/_temporary/{self.job}/{uuid.uuid4().hex}"
-                with store.open_output_stream(held) as out:
-                    out.write(content.as_buffer())
-                names.append((held, f"{path}/{name}"))
-        return Written(names)
+        folder, task = f"{path}/_temporary/{self.job}", uuid.uuid4().hex
+        store.create_dir(folder, recursive=True)
+        n = 0
+        with store.open_output_stream(f"{folder}/{task}.names") as names:
+            for batch in iterator:
+                for name, content in zip(batch.column("name").to_pylist(), batch.column("content")):
+                    held = f"{folder}/{task}-{n}"
+                    with store.open_output_stream(held) as out:
+                        out.write(content.as_buffer())
+                    names.write(json.dumps([held, name]).encode() + b"\n")
+                    n += 1
+        return Written(f"{folder}/{task}.names")
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
         store, path = _open(self.path)
+        folder = None
         for message in messages:
-            for held, name in message.names if message else []:
-                store.create_dir(name.rsplit("/", 1)[0], recursive=True)
-                store.move(held, name)
+            if not message:
+                continue
+            with store.open_input_stream(message.names) as names:
+                for line in io.TextIOWrapper(names, "utf-8"):
+                    held, name = json.loads(line)
+                    name = f"{path}/{name}"
+                    if folder != name.rsplit("/", 1)[0]:
+                        folder = name.rsplit("/", 1)[0]
+                        store.create_dir(folder, recursive=True)
+                    store.move(held, name)
         self._clear(store, path)
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:

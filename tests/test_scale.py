@@ -1,10 +1,14 @@
 """What a query does as its tables grow: work that must not be done again, and what must not reach the driver."""
 
+import pickle
 from collections import Counter
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from grainfold.operators import terms
+from grainfold.plans import QUERIES
+from grainfold.sources import files
 
 
 def plan(df):
@@ -19,3 +23,22 @@ def test_pairs_split_a_text_once(spark):
     assert {(r.id, r.term): r.n for r in counts.collect()} == want
     kept = terms.term_counts(df, "id", "text", ngrams=2, stop=["bb"]).where("id = 1")
     assert {r.term: r.n for r in kept.collect()} == {"aa": 3, "cc": 1, "aa cc": 1, "cc aa": 1}
+
+
+def test_side_files_hold_a_thousand_events(spark, tmp_path):
+    # ids of a user far apart: blocks of ids would give every event a file of its own
+    df = spark.range(2500).select((F.col("id") * 1000).alias("event_id"), F.when(F.col("id") < 2400, 1).otherwise(2).cast("long").alias("user_id"), F.timestamp_seconds("id").alias("ts"), F.lit(0.5).alias("value"))
+    df.write.parquet(str(tmp_path / "events.parquet"))
+    out = QUERIES["json_sidecars"](spark, str(tmp_path))
+    assert len(out.inputFiles()) == 4
+    assert {(r.file_id, r.start, r.end) for r in out.collect()} == {(("1" if i < 2400 else "2"), float(i), i + 0.5) for i in range(2500)}
+
+
+def test_file_names_stay_out_of_the_commit_message(spark, tmp_path):
+    batch = pa.record_batch([pa.array([f"d/{i}" for i in range(1000)]), pa.array([b"x"] * 1000, pa.binary())], ["name", "content"])
+    writer = files.FileWriter(str(tmp_path))
+    message = writer.write(iter([batch, batch.slice(0, 0)]))
+    assert len(pickle.dumps(message)) < 1000
+    assert not (tmp_path / "d").exists()
+    writer.commit([message, None])
+    assert len(list((tmp_path / "d").iterdir())) == 1000 and not (tmp_path / "_temporary").exists()
