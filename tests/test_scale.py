@@ -3,10 +3,11 @@
 import pickle
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from grainfold.operators import terms
+from grainfold.operators import hinge, terms
 from grainfold.plans import QUERIES
 from grainfold.sources import files
 
@@ -42,3 +43,21 @@ def test_file_names_stay_out_of_the_commit_message(spark, tmp_path):
     assert not (tmp_path / "d").exists()
     writer.commit([message, None])
     assert len(list((tmp_path / "d").iterdir())) == 1000 and not (tmp_path / "_temporary").exists()
+
+
+def test_a_text_s_length_is_summed_once(spark):
+    counts = spark.range(3000).select(F.lit(1).alias("id"), F.col("id").cast("string").alias("term"), (F.col("id") % 7 + 1).alias("n"))
+    index = counts.select("term", F.col("term").cast("long").alias("idx"), F.lit(1).alias("df"))
+    rows = terms.sparse_rows(counts, index, "id", 1, use_idf=False)
+    # a sum inside the division would be made again for every weight
+    assert "sqrt(aggregate(" not in plan(rows).lower()
+    (row,) = rows.collect()
+    assert row.idx == list(range(3000))
+    size = sum((i % 7 + 1) ** 2 for i in range(3000)) ** 0.5
+    assert row.val == [(i % 7 + 1) / size for i in range(3000)]
+
+
+def test_steps_hand_on_matrices():
+    made = hinge._out(0, np.arange(4), np.arange(8.0).reshape(4, 2))
+    assert made.column("v").to_pylist() == [[0.0, 1.0], [2.0, 3.0], [4.0, 5.0], [6.0, 7.0]]
+    assert made.schema.equals(hinge._out(1, np.empty(0, np.int64), np.empty((0, 1))).schema)
