@@ -5,9 +5,10 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from grainfold.operators import hinge, terms
+from grainfold.operators import evaluate, hinge, learn, terms
 from grainfold.plans import QUERIES
 from grainfold.sources import files
 
@@ -61,3 +62,19 @@ def test_steps_hand_on_matrices():
     made = hinge._out(0, np.arange(4), np.arange(8.0).reshape(4, 2))
     assert made.column("v").to_pylist() == [[0.0, 1.0], [2.0, 3.0], [4.0, 5.0], [6.0, 7.0]]
     assert made.schema.equals(hinge._out(1, np.empty(0, np.int64), np.empty((0, 1))).schema)
+
+
+def test_a_sweep_makes_its_rows_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def count(i):
+        made.add(1)
+        return float(i % 3)
+
+    rows = spark.range(40).select(count("id").alias("label"), F.col("id"))
+    vectors = VectorAssembler(inputCols=["id"], outputCol="features").transform(rows)
+    score = lambda scored: evaluate.regression_report(scored, "label", "prediction").select("mse")
+    out = learn.tree_count_sweep(lambda n: learn.forest_regressor(trees=n, max_depth=1), [1, 2], vectors, vectors, score)
+    assert [r.trees for r in out.collect()] == [1, 2]
+    assert made.value == 80
