@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from grainfold.operators import evaluate, hinge, learn, terms
+from grainfold.operators import cluster, evaluate, hinge, learn, terms
 from grainfold.plans import QUERIES
 from grainfold.sources import files
 
@@ -78,3 +78,20 @@ def test_a_sweep_makes_its_rows_once(spark):
     out = learn.tree_count_sweep(lambda n: learn.forest_regressor(trees=n, max_depth=1), [1, 2], vectors, vectors, score)
     assert [r.trees for r in out.collect()] == [1, 2]
     assert made.value == 80
+
+
+def test_factors_by_matrices_are_those_by_cells(monkeypatch):
+    rng = np.random.default_rng(3)
+    size = np.array([1, 6, 10, 3])
+    columns, values = np.concatenate([rng.choice(10, n, replace=False) for n in size]), rng.uniform(0.01, 1, size.sum())
+    starts, row = np.cumsum(size) - size, np.repeat(np.arange(4), size)
+    topics = rng.uniform(0.1, 1, (3, 10))
+    made = []
+    for dense in (0, 16):
+        monkeypatch.setattr(cluster, "_DENSE", dense)
+        with monkeypatch.context() as m:
+            if dense:
+                m.setattr(cluster, "_fold_in", None)
+            made.append(cluster._sums_of(values, columns, starts, row, topics, 0.05, 0.05, 10))
+    for a, b in zip(*made):
+        np.testing.assert_allclose(a, b, rtol=1e-12)
