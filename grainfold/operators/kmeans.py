@@ -59,6 +59,10 @@ def _put(held: dict, key: tuple[int, int], value: np.ndarray) -> None:
     held[key] = held[key] + value if key in held else value.astype(float)
 
 
+#: Draws of candidates at most, for a number of clusters that has fewer candidates than clusters.
+MORE_STEPS = 16
+
+
 def _uniform(hashes: np.ndarray, *salt: int) -> np.ndarray:
     """Numbers from 0 to 1 that depend on row hashes and a salt alone."""
     x = hashes.astype(np.uint64) ^ np.uint64(hash(salt) & (1 << 63) - 1)
@@ -90,14 +94,23 @@ def _spread(points: np.ndarray, weights: np.ndarray, k: int, rng: np.random.Gene
 
 def first_centres(points: DataFrame, ks: Sequence[int], view: View, seed: int, steps: int = 2) -> dict[int, np.ndarray]:
     """Starting centres for every k: candidates drawn over all rows in proportion to their squared distance, about ``2 k`` in each of
-    ``steps``, weighted by the rows nearest to them, and thinned out to ``k`` on the driver, by the best of a few tries (k-means||)."""
+    ``steps``, weighted by the rows nearest to them, and thinned out to ``k`` on the driver, by the best of a few tries (k-means||).
+
+    Copies of a row are drawn together, so few distinct rows may give too few candidates: those ``ks`` draw again, while rows lie off their candidates.
+    """
     start = points.orderBy("h").select("x").first()
     if start is None:
         raise ValueError("no rows to cluster")
     row = np.array(start.x, float)[None]
     chosen = {k: view(row, k) for k in ks}
-    for step in range(steps):
-        known = dict(chosen)
+    known, begin = dict(chosen), {}
+    for step in range(max(steps, MORE_STEPS)):
+        if step >= steps:
+            known = {k: c for k, c in chosen.items() if k in known and len(np.unique(c, axis=0)) < k}
+        else:
+            known = dict(chosen)
+        if not known:
+            break
 
         def cost(batch: pa.RecordBatch, held: dict) -> None:
             x = _vectors(batch, "x")
@@ -105,6 +118,11 @@ def first_centres(points: DataFrame, ks: Sequence[int], view: View, seed: int, s
                 _put(held, (k, 0), np.array([_gaps(view(x, k), c).min(1).sum()]))
 
         total = {k: float(v[0]) for (k, _), v in _cells(points, cost).items()}
+        begin = begin or total
+        if step >= steps:
+            known = {k: c for k, c in known.items() if total[k] > 1e-9 * begin[k]}
+            if not known:
+                break
 
         def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
