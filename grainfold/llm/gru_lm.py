@@ -29,6 +29,10 @@ KNOWN_WORDS, HEAD_WORDS, CLASSES, STATE = 1 << 19, 1024, 32, 16
 #: Texts side by side and steps of a window, in training and in scoring; rounds, and the share of training texts in each.
 LANES, STEPS, SCORE_LANES, SCORE_STEPS = 64, 32, 384, 48
 ROUNDS, SHARE = 4, 4
+#: Tokens that are scored side by side, and what states may add to logits while these can do without their row's maximum.
+SCORE_TOKENS, _SAFE = 1 << 22, 30.0
+#: Leading bits by which words are looked up.
+_LEAD = 20
 
 
 def token_streams(hasher: WordHasher, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -84,13 +88,25 @@ class Vocabulary:
     total: int
     distinct: int
     head_counts: np.ndarray
+    begins: np.ndarray | None = None
 
     def look_up(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place of each token, and whether it is there."""
         if not len(self.word):
             return np.zeros(len(tokens), np.int64), np.zeros(len(tokens), bool)
-        at = np.minimum(np.searchsorted(self.word, tokens), len(self.word) - 1)
-        return at, self.word[at] == tokens
+        # words are hashes, so few of them share their leading bits; a token begins at the first of these
+        if self.begins is None:
+            self.begins = np.searchsorted(self.word >> np.uint64(64 - _LEAD), np.arange(1 << _LEAD, dtype=np.uint64))
+        last = len(self.word) - 1
+        at = np.minimum(self.begins[tokens >> np.uint64(64 - _LEAD)], last)
+        found = self.word[at]
+        behind = np.flatnonzero(found < tokens)
+        while len(behind):
+            at[behind] += 1
+            behind = behind[at[behind] <= last]
+            found[behind] = self.word[at[behind]]
+            behind = behind[found[behind] < tokens[behind]]
+        return np.minimum(at, last), found == tokens
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
@@ -122,7 +138,12 @@ def class_edges(head_counts: np.ndarray) -> np.ndarray:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return np.float32(0.5) * (np.tanh(np.float32(0.5) * x) + np.float32(1))
+    """Works in place."""
+    x *= np.float32(0.5)
+    np.tanh(x, out=x)
+    x += np.float32(1)
+    x *= np.float32(0.5)
+    return x
 
 
 class Model:
@@ -153,12 +174,19 @@ class Model:
             setattr(self, n, flat[at : at + old.size].reshape(old.shape).astype(np.float32))
             at += old.size
 
-    def step(self, h: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, ...]:
-        x = self.X[tokens]
-        zr = _sigmoid(x[:, : 2 * STATE] + h @ self.Uzr)
+    def step(self, h: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, ...]:
+        """New states from old ones and the inputs' rows of ``X``, and what is between them."""
+        zr = h @ self.Uzr
+        zr += x[:, : 2 * STATE]
+        zr = _sigmoid(zr)
         z, r = zr[:, :STATE], zr[:, STATE:]
-        c = np.tanh(x[:, 2 * STATE :] + (r * h) @ self.Uh)
-        return h + z * (c - h), z, r, c
+        c = (r * h) @ self.Uh
+        c += x[:, 2 * STATE :]
+        np.tanh(c, out=c)
+        new = c - h
+        new *= z
+        new += h
+        return new, z, r, c
 
     def output(self, states: np.ndarray, targets: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log-probability of each target (in the tail: of the tail class), and the gradient for the states."""
@@ -176,25 +204,39 @@ class Model:
             back = p @ self.Wc.T
             grads["Wc"], grads["bc"] = states.T @ p, p.sum(axis=0)
             grads["Ww"], grads["bw"] = np.zeros_like(self.Ww), np.zeros_like(self.bw)
+        # by class, so that a class is a slice; the tail, which is last, needs no more
         order = np.argsort(kind, kind="stable")
         ends = np.searchsorted(kind[order], np.arange(self.classes))
+        order = order[: ends[-1]]
+        sorted_states, kind = states[order], kind[order]
+        sizes = np.diff(self.edges)
+        cell = (np.arange(len(order)) - ends[kind]) * sizes[kind] + targets[order] - self.edges[kind]
+        own, sums = np.empty(len(order), score.dtype), np.empty(len(order), score.dtype)
+        add = np.empty_like(sorted_states) if grads is not None else None
+        # states lie between -1 and 1, so this bounds what they add to a word's logit
+        reach, ones = np.abs(self.Ww).sum(axis=1).max(initial=0), np.ones(max(len(order), self.k), np.float32)
         for c in range(self.classes - 1):
-            rows = order[ends[c] : ends[c + 1]]
-            if not len(rows):
+            at, to = ends[c], ends[c + 1]
+            if at == to:
                 continue
             a, b = self.edges[c], self.edges[c + 1]
-            s = states[rows]
-            inner = s @ self.Ww[a:b].T + self.bw[a:b]
-            inner -= inner.max(axis=1, keepdims=True)
-            q = np.exp(inner)
-            total = q.sum(axis=1)
-            place, m = targets[rows] - a, np.arange(len(rows))
-            score[rows] += inner[m, place] - np.log(total)
+            s, goal = sorted_states[at:to], cell[at:to]
+            bias = self.bw[a:b]
+            inner = s @ self.Ww[a:b].T
+            inner += bias - bias.max()
+            if reach > _SAFE:
+                inner -= inner.max(axis=1, keepdims=True)
+            own[at:to] = inner.ravel()[goal]
+            q = np.exp(inner, out=inner)
+            total = np.matmul(q, ones[: b - a], out=sums[at:to])
             if grads is not None:
                 q /= total[:, None]
-                q[m, place] -= 1
-                back[rows] += q @ self.Ww[a:b]
-                grads["Ww"][a:b], grads["bw"][a:b] = q.T @ s, q.sum(axis=0)
+                q.ravel()[goal] -= 1
+                np.matmul(q, self.Ww[a:b], out=add[at:to])
+                grads["Ww"][a:b], grads["bw"][a:b] = q.T @ s, ones[: to - at] @ q
+        score[order] += own - np.log(sums)
+        if grads is not None:
+            back[order] += add
         return score, back
 
 
@@ -266,32 +308,44 @@ def train_batch(model: Model, rule: Adam, targets: np.ndarray, starts: np.ndarra
         at = np.where(valid, places, 0)
         tokens, fresh, goal = before[at], begins[at], targets[at]
         h = h[:active]
-        saved, states = [], np.empty((width, active, STATE), np.float32)
+        states, olds, zs, rs, cs = (np.empty((width, active, STATE), np.float32) for _ in range(5))
+        begun = fresh.any(axis=1)
+        inputs = model.X[tokens]
         for t in range(width):
-            old = np.where(fresh[t][:, None], np.float32(0), h)
-            h, z, r, c = model.step(old, tokens[t])
-            states[t] = h
-            saved.append((old, z, r, c))
+            olds[t] = h
+            if begun[t]:
+                olds[t][fresh[t]] = 0
+            states[t], zs[t], rs[t], cs[t] = model.step(olds[t], inputs[t])
+            h = states[t]
         use = valid.ravel()
         grads: dict[str, np.ndarray] = {}
         _, back = model.output(states.reshape(-1, STATE)[use], goal.ravel()[use], grads)
         whole = np.zeros((width * active, STATE), np.float32)
         whole[use] = back
         whole = whole.reshape(width, active, STATE)
-        grads["Uzr"], grads["Uh"] = np.zeros_like(model.Uzr), np.zeros_like(model.Uh)
+        # what doesn't depend on later steps, for the whole window at once
+        keep, by_c, by_z, by_r, used = 1 - zs, zs * (1 - cs * cs), (cs - olds) * zs * (1 - zs), olds * rs * (1 - rs), rs * olds
         into = np.empty((width, active, 3 * STATE), np.float32)
         carried = np.zeros((active, STATE), np.float32)
+        zr_back, h_back = np.ascontiguousarray(model.Uzr.T), np.ascontiguousarray(model.Uh.T)
         for t in range(width - 1, -1, -1):
-            old, z, r, c = saved[t]
             d = whole[t] + carried
-            dc = d * z * (1 - c * c)
-            drh = dc @ model.Uh.T
-            dzr = np.concatenate([d * (c - old) * z * (1 - z), drh * old * r * (1 - r)], axis=1)
-            grads["Uh"] += (r * old).T @ dc
-            grads["Uzr"] += old.T @ dzr
+            dc = d * by_c[t]
+            drh = dc @ h_back
+            dzr = np.empty((active, 2 * STATE), np.float32)
+            np.multiply(d, by_z[t], out=dzr[:, :STATE])
+            np.multiply(drh, by_r[t], out=dzr[:, STATE:])
             into[t, :, : 2 * STATE], into[t, :, 2 * STATE :] = dzr, dc
-            carried = d * (1 - z) + drh * r + dzr @ model.Uzr.T
-            carried[fresh[t]] = 0
+            d *= keep[t]
+            drh *= rs[t]
+            d += drh
+            d += dzr @ zr_back
+            if begun[t]:
+                d[fresh[t]] = 0
+            carried = d
+        along = into.reshape(-1, 3 * STATE)
+        grads["Uzr"] = olds.reshape(-1, STATE).T @ along[:, : 2 * STATE]
+        grads["Uh"] = used.reshape(-1, STATE).T @ along[:, 2 * STATE :]
         flat, rows = tokens.ravel()[use], into.reshape(-1, 3 * STATE)[use]
         order = np.argsort(flat, kind="stable")
         first = np.flatnonzero(np.concatenate([[True], np.diff(flat[order]) != 0]))
@@ -313,9 +367,12 @@ def score_batch(model: Model, targets: np.ndarray, starts: np.ndarray) -> np.nda
         tokens, fresh = before[at], begins[at]
         h = h[:active]
         states = np.empty((width, active, STATE), np.float32)
+        begun = fresh.any(axis=1)
+        inputs = model.X[tokens]
         for t in range(width):
-            h = np.where(fresh[t][:, None], np.float32(0), h)
-            h = model.step(h, tokens[t])[0]
+            if begun[t]:
+                h = np.where(fresh[t][:, None], np.float32(0), h)
+            h = model.step(h, inputs[t])[0]
             states[t] = h
         use = valid.ravel()
         each[places.ravel()[use]] = model.output(states.reshape(-1, STATE)[use], targets[at].ravel()[use])[0]
@@ -400,6 +457,17 @@ def score_texts(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
         model.load(learned)
         log_count = np.log10(words.count + 0.5)
         next_row = TaskContext.get().partitionId() << 40
+        held: list[tuple[list, np.ndarray, np.ndarray]] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            """Texts of several batches side by side, so that the longest of each don't run alone."""
+            shifts = np.cumsum([0] + [len(t) for _, t, _ in held])
+            starts = np.concatenate([[0]] + [s[1:] + shift for (_, _, s), shift in zip(held, shifts)])
+            net = score_batch(model, np.concatenate([t for _, t, _ in held]), starts)
+            ends = np.cumsum([len(s) - 1 for _, _, s in held])[:-1]
+            for (columns, _, _), part in zip(held, np.split(net, ends)):
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(part)], names=["key", "held_out", "row", "n_tokens", "known", "logs", "tail_logs", "n_tail", "rare", "net"])
+
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -416,17 +484,20 @@ def score_texts(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
             times = np.diff(np.append(first, len(other)))
             cuts = np.searchsorted(owner[first], np.arange(len(starts))).astype(np.int32)
             rare = pa.StructArray.from_arrays([pa.array(other[first].view(np.int64)), pa.array(times.astype(np.int32))], ["word", "times"])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0), batch.column(2), pa.array(next_row + np.arange(batch.num_rows)), pa.array(np.diff(starts)), pa.array(add(here.astype(np.int64))),
-                    pa.array(add(logs)), pa.array(add(logs * in_tail)), pa.array(add(in_tail.astype(np.int64))), pa.array(score_batch(model, targets, starts)), pa.ListArray.from_arrays(pa.array(cuts), rare),
-                ],
-                names=["key", "held_out", "row", "n_tokens", "known", "logs", "tail_logs", "n_tail", "net", "rare"],
-            )
+            columns = [
+                batch.column(0), batch.column(2), pa.array(next_row + np.arange(batch.num_rows)), pa.array(np.diff(starts)), pa.array(add(here.astype(np.int64))),
+                pa.array(add(logs)), pa.array(add(logs * in_tail)), pa.array(add(in_tail.astype(np.int64))), pa.ListArray.from_arrays(pa.array(cuts), rare),
+            ]
+            held.append((columns, targets, starts))
             next_row += batch.num_rows
+            if sum(len(t) for _, t, _ in held) >= SCORE_TOKENS:
+                yield from flush()
+                held.clear()
+        if held:
+            yield from flush()
 
     kind = rows.schema["key"].dataType.simpleString()
-    fields = f"key {kind}, held_out boolean, row long, n_tokens long, known long, logs double, tail_logs double, n_tail long, net double, rare array<struct<word: long, times: int>>"
+    fields = f"key {kind}, held_out boolean, row long, n_tokens long, known long, logs double, tail_logs double, n_tail long, rare array<struct<word: long, times: int>>, net double"
     scored = stored(rows.select("key", "text", "held_out").mapInArrow(run, fields))
     rare = scored.select("row", F.explode("rare").alias("r")).select("row", F.col("r.word").alias("word"), F.col("r.times").alias("times")).join(counts, "word", "left")
     c = F.coalesce("c", F.lit(0))

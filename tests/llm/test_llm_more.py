@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from grainfold.llm import packing, resampling, spelling
+from grainfold.llm import gru_lm, packing, resampling, spelling
 from grainfold.llm.queries import QUERIES, tokenizer_path
 
 SF = "/root/testdata/sf0.001"
@@ -281,3 +281,44 @@ def test_odd_columns(spark):
     odd = docs.select("*", *[F.lit("x").alias(c) for c in ("key", "n", "ids", "place", "range", "word", "form", "score", "rank", "weight", "_range", "bucket_ids")])
     for apply in (lambda d: packing.pack_documents(d, tokenizer_path(MODEL)), spelling.group_spellings, lambda d: resampling.resample(d, d)):
         assert sorted(map(str, apply(odd).collect())) == sorted(map(str, apply(docs).collect()))
+
+
+def test_lm_words_are_looked_up_by_their_leading_bits():
+    rng = np.random.default_rng(3)
+    word = np.unique(np.concatenate([rng.integers(0, 1 << 63, 4000, dtype=np.uint64) * np.uint64(2), np.arange(40, dtype=np.uint64), np.uint64(2**64 - 1) - np.arange(3, dtype=np.uint64)]))
+    tokens = np.concatenate([word, word + np.uint64(1), rng.integers(0, 1 << 63, 4000, dtype=np.uint64)])
+    for known in (word, word[:1], word[-1:], word[:0]):
+        words = gru_lm.Vocabulary(known, np.ones(len(known)), np.zeros(len(known), np.int32), 0, 0, np.zeros(0))
+        at, here = words.look_up(tokens)
+        assert (here == np.isin(tokens, known)).all() and (known[at[here]] == tokens[here]).all()
+        # the words' buckets are found once and kept
+        assert (words.begins is not None) == bool(len(known))
+
+
+@pytest.mark.parametrize("scale", [0.1, 20.0])
+def test_lm_output_is_the_class_times_the_word(scale):
+    rng = np.random.default_rng(4)
+    counts = np.sort(rng.integers(1, 10_000, 90))[::-1].astype(np.int64)
+    model = gru_lm.Model(counts, 500.0)
+    model.Wc, model.Ww = (rng.normal(0, scale, w.shape).astype(np.float32) for w in (model.Wc, model.Ww))
+    states, targets = np.tanh(rng.normal(0, 1, (300, gru_lm.STATE))).astype(np.float32), rng.integers(0, 91, 300)
+
+    def log_softmax(x):
+        return x - x.max() - np.log(np.exp(x - x.max()).sum())
+
+    want = []
+    for s, word in zip(states.astype(float), targets):
+        c = model.class_of[word]
+        want.append(log_softmax(s @ model.Wc + model.bc)[c])
+        if word < 90:
+            a, b = model.edges[c], model.edges[c + 1]
+            want[-1] += log_softmax(model.Ww[a:b] @ s + model.bw[a:b])[word - a]
+    grads = {}
+    score, back = model.output(states, targets, grads)
+    assert np.allclose(score, want, rtol=1e-3, atol=1e-3) and np.allclose(model.output(states, targets)[0], score)
+    # the gradient for the states is the change of the score
+    step = np.zeros(gru_lm.STATE, np.float32)
+    step[3] = 1e-2
+    if scale < 1:
+        slope = (model.output(states + step, targets)[0] - model.output(states - step, targets)[0]) / 2e-2
+        assert np.allclose(-back[:, 3], slope, atol=5e-3)
