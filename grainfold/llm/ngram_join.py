@@ -15,7 +15,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from grainfold.llm.common import WordHasher, bounded_batches, mix64, packed, row_identity, settled_broadcast, shingle_hashes
@@ -210,25 +210,26 @@ class _Join:
         Each page has a hub, the member that shares most pages with others: of many variants of a text
         that is the one nearest to most of them.
         """
-        met = self._pages().groupBy("page").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
-        shared = stored(met.where("lo <> hi").select("page"))
-        # shared pages grow with the input: no broadcast is asked for, so the way is the same at every size
-        inside = stored(self._pages().join(shared, "page").distinct())
+        # pages are made and dealt out once; copies and lonely members go where they meet
+        dealt = self._pages().repartition(F.col("page")).groupBy("page", "id").agg(F.lit(1).alias("one"))
+        ends = Window.partitionBy("page").orderBy("id")
+        shared = dealt.select("page", "id", F.lag("id").over(ends).alias("before"), F.lead("id").over(ends).alias("after"))
+        inside = stored(shared.where("before IS NOT NULL OR after IS NOT NULL").select("page", "id"))
         sizes = inside.groupBy("page").agg(F.count(F.lit(1)).alias("size"))
         weight = stored(inside.join(sizes, "page").groupBy("id").agg(F.sum("size").alias("weight")))
         hubs = inside.join(weight, "id").groupBy("page").agg(F.max(F.struct("weight", "id")).alias("h")).select("page", F.col("h.id").alias("hub"))
         placed = stored(inside.join(hubs, "page").where("id <> hub"))
-        for table in (shared, weight, inside):
+        for table in (weight, inside):
             discard(table)
         stars = stored(placed.select("id", F.col("hub").alias("id_2")).distinct())
         linked = stored(self.verified(self._possible(stars)))
 
-        # members linked to their page's hub are settled; others meet all members of the page
+        # members linked to their page's hub are settled; others meet the members of the page that links don't reach yet
         settled = linked.select("id", F.col("id_2").alias("hub"))
         open_ones = stored(placed.join(settled, ["id", "hub"], "left_anti").select("page", "id"))
         busy = open_ones.groupBy("page").agg(F.count(F.lit(1)).alias("open"))
         others = placed.join(busy, "page").select("page", "id")
-        more = self.verified(self._between(open_ones, others))
+        more = self.verified(self._between(open_ones, others, components(linked)))
         return linked.select("a", "b").union(more.select("a", "b"))
 
     def _possible(self, pairs: DataFrame) -> DataFrame:
@@ -237,8 +238,8 @@ class _Join:
         both = pairs.join(marks, "id").join(_second(marks), "id_2")
         return both.where(_near(self.similar)).select("id", "id_2").distinct()
 
-    def _between(self, open_ones: DataFrame, others: DataFrame) -> DataFrame:
-        """Pairs of an open member and another one of its page that the leaves' corners and the parities allow.
+    def _between(self, open_ones: DataFrame, others: DataFrame, groups: DataFrame) -> DataFrame:
+        """Pairs of an open member and another one of its page, not in the same of ``groups``, that the leaves' corners and the parities allow.
 
         A leaf holds the points of a page with the same size step and about the same sums over the first half of
         the coordinates; its upper corner has the largest value of each coordinate.
@@ -247,15 +248,16 @@ class _Join:
         step = F.floor(F.log2(F.col("n").cast("double")) * 8)
         leaf = F.xxhash64(step, F.floor(half / F.greatest(F.lit(4.0), F.sqrt("n"))))
         wanted = others.select("id").distinct()
-        light = stored(self.members.where("n > 0").dropDuplicates(["node"]).join(wanted, "id").select("id", "n", "point", leaf.alias("leaf"), *PARITY))
-        corners = others.join(light.drop(*PARITY), "id").groupBy("page", "leaf").agg(F.min("n").alias("n"), F.max("n").alias("most"), *[F.max(F.get("point", F.lit(i))).alias(f"c{i}") for i in range(GROUPS)])
+        distinct = self.members.where("n > 0").dropDuplicates(["node"]).join(wanted, "id").join(groups, "node", "left")
+        light = stored(distinct.select("id", "n", "point", leaf.alias("leaf"), *PARITY, F.coalesce("label", "node").alias("group")))
+        corners = others.join(light.drop(*PARITY, "group"), "id").groupBy("page", "leaf").agg(F.min("n").alias("n"), F.max("n").alias("most"), *[F.max(F.get("point", F.lit(i))).alias(f"c{i}") for i in range(GROUPS)])
         corners = stored(corners.select("page", "leaf", "n", "most", F.array(*[f"c{i}" for i in range(GROUPS)]).alias("corner")))
         near = corners.join(_second(corners, "page"), "page").where(
             (F.least("most", "most_2") * self.similar.denominator >= F.greatest("n", "n_2") * self.similar.numerator) & (_minima("corner", "corner_2") >= _need(F.col("n"), F.col("n_2"), self.similar))
         )
         slim = light.drop("point")
         where = open_ones.join(slim, "id").join(near.select("page", "leaf", "leaf_2"), ["page", "leaf"]).drop("leaf")
-        pairs = where.join(_second(others.join(slim, "id"), "page"), ["page", "leaf_2"]).where((F.col("id") != F.col("id_2")) & _near(self.similar))
+        pairs = where.join(_second(others.join(slim, "id"), "page"), ["page", "leaf_2"]).where((F.col("id") != F.col("id_2")) & (F.col("group") != F.col("group_2")) & _near(self.similar))
         return pairs.select(F.least("id", "id_2").alias("id"), F.greatest("id", "id_2").alias("id_2")).distinct()
 
     def verified(self, pairs: DataFrame) -> DataFrame:

@@ -177,6 +177,29 @@ def test_near_copies_against_brute_force(spark):
     line_dedup.COMMON, line_dedup.COMMON_TIMES = old
 
 
+def test_linked_members_do_not_meet_again(spark, monkeypatch):
+    """Variants that links to hubs already join are not paired with each other: none of the pairs left to verify lies inside a group."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(200):
+        words = [f"w{j}" for j in range(80)]
+        for at in rng.integers(0, 80, rng.integers(0, 3)):
+            words[at] = f"v{rng.integers(0, 40)}"
+        rows.append((i, " ".join(words), "en", "a"))
+    made, between = [], ngram_join._Join._between
+
+    def watched(self, open_ones, others, groups):
+        pairs = between(self, open_ones, others, groups)
+        ids = self.members.select("id", "node").distinct().join(groups, "node", "left").select("id", F.coalesce("label", "node").alias("group"))
+        both = pairs.join(ids, "id").join(ids.select(F.col("id").alias("id_2"), F.col("group").alias("group_2")), "id_2")
+        made.append(both.where("group = group_2").count())
+        return pairs
+
+    monkeypatch.setattr(ngram_join._Join, "_between", watched)
+    found = {r.doc_id: r.component_id for r in ngram_join.join_groups(documents(spark, rows)).collect()}
+    assert made == [0] and len(found) == 200
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 102), (102, 101), (5, 5), (None, 3)], "a long, b long")
     found = {r.node: r.label for r in components(edges).collect()}
