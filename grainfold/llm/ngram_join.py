@@ -4,7 +4,8 @@ Shingles are hashed into groups, and a document is the point of its counts per g
 coordinate minima bounds the overlap of two documents from above, and the sum of differences
 bounds it too. The top of the index cuts the coordinates into blocks: similar points differ in fewer
 coordinates than there are blocks, so they agree exactly in at least one block, and
-equal blocks are the pages in which they meet. Inside pages, leaves of a tree with upper corners are
+equal blocks are the pages in which they meet. There are more such blocks than one, so every point leaves out
+its most crowded pages. Inside pages, leaves of a tree with upper corners are
 compared by the summed minima of their corners, then points, then the sets themselves.
 """
 
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from grainfold.llm.common import WordHasher, bounded_batches, mix64, packed, row_identity, settled_broadcast, shingle_hashes
 from grainfold.llm.groups import components
-from grainfold.session import discard, passing_tables, stored
+from grainfold.session import passing_tables, stored
 
 #: Coordinates of the points that are compared, and finer ones of which only the parity of the count is kept.
 GROUPS, PARITIES = 64, 256
@@ -34,6 +35,25 @@ def size_bounds(most: int = 1 << 40) -> np.ndarray:
     return np.array(bounds, np.int64)
 
 
+def spare_blocks(bounds: np.ndarray, differ: np.ndarray, similar: Fraction) -> np.ndarray:
+    """Blocks per size class above those that similar sets need, so many that hardly any set has more empty ones.
+
+    The smallest set that meets others in a class has ``similar`` times its lower end of shingles.
+    """
+    spare = differ // 10 + 2
+    fewest = np.maximum(1.0, float(similar) * bounds[:-1])
+    tried = spare.copy()
+    while True:
+        blocks = differ + 1 + tried
+        empty = blocks * np.exp(-fewest / blocks)
+        short = tried < empty + 3 * np.sqrt(empty) + 2
+        spare = np.where(short, spare, np.where(spare > differ // 10 + 2, spare, tried))
+        open_ones = short & (blocks < 2 * bounds[1:])
+        if not open_ones.any():
+            return spare
+        tried = np.where(open_ones, tried + tried // 32 + 1, tried)
+
+
 class Points:
     """Shingle sets of texts, their identity, points and pages, a batch at a time."""
 
@@ -44,7 +64,7 @@ class Points:
         # two sets below a size differ by at most this many shingles, and there are more blocks than that
         apart = (1 - similar) / (1 + similar)
         self.differ = np.array([int(apart * 2 * (int(b) - 1)) for b in self.bounds[1:]], np.int64)
-        self.spare = self.differ // 10 + 2
+        self.spare = spare_blocks(self.bounds, self.differ, similar)
         self.blocks = self.differ + 1 + self.spare
 
     def sets(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -76,17 +96,32 @@ class Points:
         odd = (np.bincount(flat, minlength=(len(starts) - 1) * PARITIES) & 1).astype(np.uint8).reshape(-1, PARITIES)
         return np.packbits(odd, axis=1).view(np.int64)
 
-    def pages(self, value: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(page, text number) for every block of every text, in its size class and, near the upper end, the next.
+    def fine_parities(self, value: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """64-bit words of parities of as many counts as the set has shingles (next power of two), and where each text's begin.
+
+        With half as many counts, the parities are the first half of the words, each combined with one of the second by exclusive or.
+        """
+        n = np.diff(starts)
+        bits = np.maximum(PARITIES, 1 << np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64))
+        ends = np.concatenate([[0], np.cumsum(bits)])
+        place = (mix64(value + np.uint64(41)) & np.repeat(bits - 1, n).astype(np.uint64)).astype(np.int64) + np.repeat(ends[:-1], n)
+        odd = (np.bincount(place, minlength=int(ends[-1])) & 1).astype(np.uint8)
+        return np.packbits(odd).view(np.int64), ends // 64
+
+    def pages(self, value: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(page, text number, mark) for every block of every text, in its size class and, near the upper end, the next.
 
         A block is the part of the set that falls into its coordinates, coordinates being as fine as the
         hash. Empty blocks are left out: a text with no more of them than there are spare blocks agrees with any similar
         text in a block that isn't empty. Texts with more empty blocks have pages for these, too.
+
+        The mark is the size class, above 40 bits for the number of pages that the text can do without in that class:
+        similar texts agree in one block more than there are spare ones, of which the empty ones have no page.
         """
         n = np.diff(starts)
         home = np.searchsorted(self.bounds, n, side="right") - 1
         num, den = self.similar.numerator, self.similar.denominator
-        out_page, out_owner = [], []
+        out_page, out_owner, out_mark = [], [], []
         for step in (0, 1):
             use = np.flatnonzero((n > 0) if step == 0 else (n > 0) & (n * den >= num * self.bounds[home + 1]))
             kind = home[use] + step
@@ -107,7 +142,8 @@ class Points:
             label = mix64((kind[owner].astype(np.uint64) << np.uint64(40)) + number.astype(np.uint64))
             out_page.append(mix64(sums + label)[keep])
             out_owner.append(use[owner[keep]])
-        return np.concatenate(out_page), np.concatenate(out_owner)
+            out_mark.append(((kind << 40) + np.maximum(self.spare[kind] - empty, 0))[owner[keep]])
+        return np.concatenate(out_page), np.concatenate(out_owner), np.concatenate(out_mark)
 
 
 def _id_bytes(identity: np.ndarray) -> pa.Array:
@@ -141,6 +177,20 @@ def _near(similar: Fraction) -> Column:
     return _alike(F.col("n"), F.col("n_2"), similar) & (odd <= F.col("n") + F.col("n_2") - 2 * _need(F.col("n"), F.col("n_2"), similar))
 
 
+def _fine_near(similar: Fraction) -> Column:
+    """``_near`` by the fine parities; those of the larger set are halved if it has twice as many."""
+
+    def halved(a: str, b: str) -> Column:
+        half = (F.size(a) / 2).cast("int")
+        folded = F.zip_with(F.slice(a, F.lit(1), half), F.slice(a, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(a) > F.size(b), folded).otherwise(F.col(a))
+
+    one, two = halved("fine", "fine_2"), halved("fine_2", "fine")
+    odd = F.aggregate(F.zip_with(one, two, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    comparable = F.greatest(F.size("fine"), F.size("fine_2")) <= 2 * F.least(F.size("fine"), F.size("fine_2"))
+    return ~comparable | (odd <= F.col("n") + F.col("n_2") - 2 * _need(F.col("n"), F.col("n_2"), similar))
+
+
 def _second(rows: DataFrame, *shared: str) -> DataFrame:
     """``rows`` with ``_2`` behind all names but the shared ones."""
     return rows.select(*[F.col(c) if c in shared else F.col(c).alias(f"{c}_2") for c in rows.columns])
@@ -153,7 +203,7 @@ class _Join:
         self.rows, self.similar = rows, similar
         self.points = Points(width, similar)
         bounded_batches(rows.sparkSession)
-        fields = f"key {rows.schema['key'].dataType.simpleString()}, _id long, _tx long, n long, node binary, id long, point array<int>, {', '.join(f'{p} long' for p in PARITY)}"
+        fields = f"key {rows.schema['key'].dataType.simpleString()}, _id long, _tx long, n long, node binary, id long, point array<int>, fine array<long>, {', '.join(f'{p} long' for p in PARITY)}"
         self.members = stored(rows.select("key", "_id", "_tx", "text").mapInArrow(self._members(), fields))
         self.marks = self.members.where("n > 0").select("id", "n", *PARITY)
 
@@ -167,9 +217,11 @@ class _Join:
                 point = points.points(value, starts)
                 parity = points.parities(value, starts)
                 each = pa.ListArray.from_arrays(pa.array(np.arange(len(point) + 1, dtype=np.int32) * GROUPS), pa.array(point.ravel().astype(np.int32)))
+                fine, begin = points.fine_parities(value, starts)
+                finer = pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(fine))
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:3], pa.array(np.diff(starts)), _id_bytes(identity), _longs(identity[:, 0].copy()), each, *[pa.array(parity[:, i].copy()) for i in range(len(PARITY))]],
-                    ["key", "_id", "_tx", "n", "node", "id", "point", *PARITY],
+                    [*batch.columns[:3], pa.array(np.diff(starts)), _id_bytes(identity), _longs(identity[:, 0].copy()), each, finer, *[pa.array(parity[:, i].copy()) for i in range(len(PARITY))]],
+                    ["key", "_id", "_tx", "n", "node", "id", "point", "fine", *PARITY],
                 )
 
         return run
@@ -181,12 +233,12 @@ class _Join:
             for batch in batches:
                 value, starts = points.sets(batch.column(0))
                 identity = points.identity(value, starts)[:, 0]
-                page, owner = points.pages(value, starts)
+                page, owner, mark = points.pages(value, starts)
                 for at in range(0, len(page), 1 << 18):
                     part = slice(at, at + (1 << 18))
-                    yield pa.RecordBatch.from_arrays([_longs(page[part]), _longs(identity[owner[part]])], ["page", "id"])
+                    yield pa.RecordBatch.from_arrays([_longs(page[part]), _longs(identity[owner[part]]), pa.array(mark[part])], ["page", "id", "mark"])
 
-        return self.rows.select("text").where("text IS NOT NULL").mapInArrow(run, "page long, id long")
+        return self.rows.select("text").where("text IS NOT NULL").mapInArrow(run, "page long, id long, mark long")
 
     def sets_of(self, pairs: DataFrame) -> DataFrame:
         """Stored ``node``, ``id`` and ``shingles`` of the sets in these pairs, from one text each."""
@@ -210,17 +262,7 @@ class _Join:
         Each page has a hub, the member that shares most pages with others: of many variants of a text
         that is the one nearest to most of them.
         """
-        # pages are made and dealt out once; copies and lonely members go where they meet
-        dealt = self._pages().repartition(F.col("page")).groupBy("page", "id").agg(F.lit(1).alias("one"))
-        ends = Window.partitionBy("page").orderBy("id")
-        shared = dealt.select("page", "id", F.lag("id").over(ends).alias("before"), F.lead("id").over(ends).alias("after"))
-        inside = stored(shared.where("before IS NOT NULL OR after IS NOT NULL").select("page", "id"))
-        sizes = inside.groupBy("page").agg(F.count(F.lit(1)).alias("size"))
-        weight = stored(inside.join(sizes, "page").groupBy("id").agg(F.sum("size").alias("weight")))
-        hubs = inside.join(weight, "id").groupBy("page").agg(F.max(F.struct("weight", "id")).alias("h")).select("page", F.col("h.id").alias("hub"))
-        placed = stored(inside.join(hubs, "page").where("id <> hub"))
-        for table in (weight, inside):
-            discard(table)
+        placed = stored(self._placed())
         stars = stored(placed.select("id", F.col("hub").alias("id_2")).distinct())
         linked = stored(self.verified(self._possible(stars)))
 
@@ -232,6 +274,23 @@ class _Join:
         more = self.verified(self._between(open_ones, others, components(linked)))
         return linked.select("a", "b").union(more.select("a", "b"))
 
+    def _placed(self) -> DataFrame:
+        """``page``, ``id`` and ``hub`` of the members, but for the hubs, of the pages that a text can't do without.
+
+        Similar sets share more pages than either can do without. Both leave out the most crowded ones in the same order,
+        so the least crowded page that they share stays with both: no link is lost, and passages or
+        phrases that many texts have make few of them meet.
+        """
+        # pages are made and dealt out once; copies and lonely members go where they meet
+        dealt = self._pages().repartition(F.col("page")).groupBy("page", "id", "mark").agg(F.lit(1).alias("one"))
+        sized = dealt.select("page", "id", "mark", F.count(F.lit(1)).over(Window.partitionBy("page")).alias("size")).where("size > 1")
+        kind, spare = F.expr("shiftright(mark, 40)"), F.col("mark").bitwiseAND(F.lit((1 << 40) - 1))
+        crowded = Window.partitionBy("id", "kind").orderBy(F.col("size").desc(), "page")
+        needed = sized.withColumn("kind", kind).repartition(F.col("id")).withColumn("rank", F.row_number().over(crowded)).where(F.col("rank") > spare)
+        weighed = needed.select("page", "id", F.sum("size").over(Window.partitionBy("id")).alias("weight"))
+        hub = F.max(F.struct("weight", "id")).over(Window.partitionBy("page"))["id"]
+        return weighed.select("page", "id", hub.alias("hub")).where("id <> hub")
+
     def _possible(self, pairs: DataFrame) -> DataFrame:
         """Pairs (``id``, ``id_2``) whose sizes and parities allow similarity."""
         marks = self.marks.distinct()
@@ -261,11 +320,13 @@ class _Join:
         return pairs.select(F.least("id", "id_2").alias("id"), F.greatest("id", "id_2").alias("id_2")).distinct()
 
     def verified(self, pairs: DataFrame) -> DataFrame:
-        """Pairs that are similar, as ids and as nodes ``a`` and ``b``: by summed minima of their points, then by the sets."""
+        """Pairs that are similar, as ids and as nodes ``a`` and ``b``: by summed minima of their points and fine parities, then by the sets."""
         similar = self.similar
-        light = self.members.where("n > 0").select("id", "n", "point").distinct()
-        possible = stored(pairs).join(light, "id").join(_second(light), "id_2")
-        possible = stored(possible.where(_minima("point", "point_2") >= _need(F.col("n"), F.col("n_2"), similar)).select("id", "id_2").distinct())
+        pairs = stored(pairs)
+        ids = stored(pairs.select("id").union(pairs.select("id_2")).distinct())
+        light = self.members.where("n > 0").join(settled_broadcast(ids, 16), "id", "left_semi").dropDuplicates(["node"]).select("id", "n", "point", "fine")
+        possible = pairs.join(light, "id").join(_second(light), "id_2")
+        possible = stored(possible.where((_minima("point", "point_2") >= _need(F.col("n"), F.col("n_2"), similar)) & _fine_near(similar)).select("id", "id_2").distinct())
         whole = stored(self.sets_of(possible))
         both = possible.join(whole, "id").join(_second(whole), "id_2")
         n, n_2 = F.size("shingles"), F.size("shingles_2")

@@ -200,6 +200,57 @@ def test_linked_members_do_not_meet_again(spark, monkeypatch):
     assert made == [0] and len(found) == 200
 
 
+def test_unrelated_texts_do_not_meet(spark, monkeypatch):
+    """Sets near the lower end of a size class have many empty blocks; those alone bring no two texts together."""
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(f"w{v}" for v in rng.integers(0, 1 << 40, 650)), "en", "a") for i in range(40)]
+    met, between = [], ngram_join._Join._between
+
+    def watched(self, open_ones, others, groups):
+        met.append(open_ones.count())
+        return between(self, open_ones, others, groups)
+
+    monkeypatch.setattr(ngram_join._Join, "_between", watched)
+    found = ngram_join.join_groups(documents(spark, rows), 5, Fraction(4, 5)).collect()
+    assert met == [0] and all(r.component_id == r.doc_id for r in found)
+
+
+@pytest.mark.parametrize(("width", "similar"), [(4, Fraction(85, 100)), (5, Fraction(4, 5)), (2, Fraction(2, 5))])
+def test_crowded_pages_left_out_lose_no_link(spark, monkeypatch, width, similar):
+    """Texts of all sizes that share passages with many others: groups are those of brute force, and most texts leave the shared pages out."""
+    rng = np.random.default_rng(6)
+    passage = [f"p{i}" for i in range(400)]
+    rows = []
+    for size in (3, 8, 20, 60, 130, 250, 255, 260, 520, 700):
+        for _ in range(6):
+            words = passage[: size // 2] + [f"w{v}" for v in rng.integers(0, 1 << 40, size - size // 2)]
+            for edits in (0, 1, size // 50, size // 25):
+                changed = list(words)
+                for at in rng.integers(0, size, edits):
+                    changed[at : at + 1] = [f"v{rng.integers(0, 1 << 40)}"] * int(rng.integers(0, 3))
+                rows.append((len(rows), " ".join(changed), "en", "a"))
+    words = [(i, t.split()) for i, t, _, _ in rows]
+    sets = {i: {tuple(w[k : k + width]) for k in range(max(1, len(w) - width + 1))} for i, w in words if w}
+    links = [(a, b) for a, b in itertools.combinations(sets, 2) if similar.denominator * len(sets[a] & sets[b]) >= similar.numerator * len(sets[a] | sets[b])]
+    want = {r.node: r.label for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert {r.doc_id: r.component_id for r in ngram_join.join_groups(documents(spark, rows), width, similar).collect()} == {i: want.get(i, i) for i, *_ in rows}
+
+
+def test_fine_parities_bound_differences(spark):
+    """Parities of two sets, also of unequal lengths, never tell of more differences than there are."""
+    rng, run = np.random.default_rng(7), ngram_join.Points(4, Fraction(4, 5))
+    sets = [np.sort(rng.integers(0, 1 << 63, n).astype(np.uint64)) for n in (0, 1, 250, 300, 512, 513, 1000, 1100, 3000)]
+    fine, begin = run.fine_parities(np.concatenate(sets), np.concatenate([[0], np.cumsum([len(s) for s in sets])]))
+    rows = [(len(s), fine[a:b].tolist()) for s, a, b in zip(sets, begin[:-1], begin[1:], strict=True)]
+    assert len(rows[5][1]) == 16 and len(rows[4][1]) == 8
+    df = spark.createDataFrame([(i, n, f, j, m, g) for i, (n, f) in enumerate(rows) for j, (m, g) in enumerate(rows)], "i int, n long, fine array<long>, j int, n_2 long, fine_2 array<long>")
+    for similar in (Fraction(4, 5), Fraction(1, 4)):
+        near = {(r.i, r.j) for r in df.where(ngram_join._fine_near(similar)).collect()}
+        assert all((i, i) in near for i in range(len(rows)))
+    near = {(r.i, r.j) for r in df.where(ngram_join._fine_near(Fraction(4, 5))).collect()}
+    assert not near & {(4, 5), (5, 4), (6, 7), (2, 3)}
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 102), (102, 101), (5, 5), (None, 3)], "a long, b long")
     found = {r.node: r.label for r in components(edges).collect()}
