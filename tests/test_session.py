@@ -1,6 +1,7 @@
 """Tables of passing use are removed, those that are kept stay."""
 
 import os
+import time
 
 import pytest
 
@@ -26,3 +27,18 @@ def test_tables_go_after_an_error(spark):
         table = stored(spark.range(1))
         raise ValueError
     assert not os.path.exists(table._stored_at.removeprefix("file:"))
+
+
+def test_shuffle_files_go_with_the_query(spark):
+    def files():
+        manager = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+        return {f.toString() for f in (lambda it: [it.apply(i) for i in range(it.size())])(manager.getAllFiles()) if "shuffle_" in f.toString()}
+
+    before = files()
+    table = stored(spark.range(1000).selectExpr("id % 7 AS k", "id").groupBy("k").sum("id"))
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+    assert table.count() == 7
